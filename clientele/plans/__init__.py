@@ -1,3 +1,8 @@
 """Named queries over a data folder, with the SQL each one is checked against."""
 
-from clientele.plans import customer_plans, revenue_plans  # noqa: F401
+from clientele.plans import (  # noqa: F401
+    cohort_plans,
+    customer_plans,
+    revenue_plans,
+    rfm_plans,
+)
