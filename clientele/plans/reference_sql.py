@@ -126,7 +126,8 @@ def with_tables(needs: str, body: str) -> str:
     for name in needs.split():
         visit(name)
     ctes = ",\n".join(f"{name} AS ({_CTES[name][1]}\n)" for name in ordered)
-    return f"WITH {ctes}\n{body}" if ctes else body
+    recursive = "RECURSIVE " if "path" in ordered else ""
+    return f"WITH {recursive}{ctes}\n{body}" if ctes else body
 
 
 def r(expression: str, digits: int) -> str:
