@@ -13,7 +13,12 @@ from clientele.plans.reference_sql import d, define, r, with_tables
 from clientele.plans.registry import query
 from clientele.sources.adapter import Tables
 from clientele.sources.scratch import materialise, scratch_path
-from clientele.sources.sinks import load_model, save_model
+from clientele.sources.sinks import (
+    load_model,
+    model_summary,
+    save_model,
+    write_json_summary,
+)
 
 TRAIN_YEARS, TEST_YEARS = (1995, 1996), (1997,)
 # The named queries fit smaller ensembles than the defaults of ``Settings``,
@@ -485,6 +490,24 @@ def _(t):
     return models.score(load_model(path), rows).select("customer_id", "churn_prob", "risk_segment")
 
 
+@query("S10_json_summary")
+def _(t):
+    rows = table(t)
+    path = scratch_path(t.spark, "summary")
+    comparison = models.compare(
+        {
+            "standard": training.standard_split(rows),
+            "out of time": training.signup_split(rows, TRAIN_YEARS, TEST_YEARS),
+        },
+        BRISK,
+        names=(models.LOGISTIC,),
+        cross_validation=False,
+    )
+    weights = models.linear_attribution(comparison.models[models.LOGISTIC, "standard"], rows)
+    write_json_summary(model_summary(comparison.table, weights), path)
+    return t.spark.read.json(path)
+
+
 @query("M28_end_to_end")
 def _(t):
     outcome = training.run(

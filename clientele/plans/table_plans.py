@@ -83,120 +83,164 @@ def _(t):
     return t.purchases.select("order_id", readers.lenient_date(raw).alias("order_date"))
 
 
-def _orders_query(name: str, sql: str, **columns):
-    """A projection over all purchases, checked against the same in SQL."""
+def _orders_query(name: str, sql: str, columns):
+    """A projection over all purchases, checked against the same in SQL.
+
+    ``columns`` is a function, as expressions can only be built in a session.
+    """
 
     @query(name, with_tables("purchases", f"SELECT order_id, {sql} FROM purchases"))
     def _(t):
-        return t.purchases.select("order_id", *[c.alias(n) for n, c in columns.items()])
+        return t.purchases.select("order_id", *[c.alias(n) for n, c in columns().items()])
+
+
+
+def _amount():
+    return F.col("order_amount").cast("double")
+
+
+def _cutoff():
+    return F.lit("2001-09-01").cast("date")
 
 
-_AMOUNT = F.col("order_amount").cast("double")
-_CUTOFF = F.lit("2001-09-01").cast("date")
+def _maybe():
+    return F.nullif(F.col("customer_id") % 3, F.lit(0))
+
 
 _orders_query(
     "F1_month_start",
     "CAST(date_trunc('month', order_date) AS DATE) AS month",
-    month=calendar.month_of("order_date"),
+    lambda: dict(
+        month=calendar.month_of("order_date"),
+    ),
 )
 _orders_query(
     "F2_month_difference",
     "CAST(2001 * 12 + 9 - year(order_date) * 12 - month(order_date) AS INTEGER) AS months",
-    months=calendar.months_between_starts("order_date", _CUTOFF),
+    lambda: dict(
+        months=calendar.months_between_starts("order_date", _cutoff()),
+    ),
 )
 _orders_query(
     "F3_day_arithmetic",
     """CAST(DATE '2001-09-01' - order_date AS INTEGER) AS days, order_date - 30 AS before,
        order_date + 90 AS after""",
-    days=F.datediff(_CUTOFF, "order_date"),
-    before=F.date_sub("order_date", 30),
-    after=F.date_add("order_date", 90),
+    lambda: dict(
+        days=F.datediff(_cutoff(), "order_date"),
+        before=F.date_sub("order_date", 30),
+        after=F.date_add("order_date", 90),
+    ),
 )
 _orders_query(
     "F4_week_closing_monday",
     "CAST(order_date + CAST((8 - isodow(order_date)) % 7 AS INTEGER) AS DATE) AS week_end",
-    week_end=calendar.week_closing_monday("order_date"),
+    lambda: dict(
+        week_end=calendar.week_closing_monday("order_date"),
+    ),
 )
 _orders_query(
     "F5_week_of_month",
     "CAST((day(order_date) - 1) // 7 + 1 AS INTEGER) AS week_of_month",
-    week_of_month=calendar.week_of_month("order_date"),
+    lambda: dict(
+        week_of_month=calendar.week_of_month("order_date"),
+    ),
 )
 _orders_query(
     "F6_year_membership",
     """CAST(year(order_date) AS INTEGER) AS year, year(order_date) IN (1996, 1998) AS listed""",
-    year=F.year("order_date"),
-    listed=F.year("order_date").isin(1996, 1998),
+    lambda: dict(
+        year=F.year("order_date"),
+        listed=F.year("order_date").isin(1996, 1998),
+    ),
 )
 _orders_query(
     "F7_future_dates",
     """CAST(order_date + 21 AS DATE) AS three_weeks_on,
        CAST(date_trunc('month', order_date) + INTERVAL 3 MONTH AS DATE) AS three_months_on""",
-    three_weeks_on=F.date_add("order_date", 21),
-    three_months_on=F.add_months(calendar.month_of("order_date"), 3),
+    lambda: dict(
+        three_weeks_on=F.date_add("order_date", 21),
+        three_months_on=F.add_months(calendar.month_of("order_date"), 3),
+    ),
 )
 _orders_query(
     "F8_tenure",
     """CAST(floor((DATE '2001-09-01' - order_date) / 30.0) AS INTEGER) AS months,
        CAST(DATE '2001-09-01' - order_date AS INTEGER) AS days""",
-    months=calendar.tenure_months("order_date", _CUTOFF),
-    days=F.datediff(_CUTOFF, "order_date"),
+    lambda: dict(
+        months=calendar.tenure_months("order_date", _cutoff()),
+        days=F.datediff(_cutoff(), "order_date"),
+    ),
 )
 _orders_query(
     "F9_rounding",
     f"{r('order_amount', 0)} AS r0, {r('order_amount', 1)} AS r1, {r(d('order_amount') + ' / 7', 4)} AS r4",
-    r0=numeric.rounded("order_amount", 0),
-    r1=numeric.rounded("order_amount", 1),
-    r4=numeric.rounded(_AMOUNT / 7, 4),
+    lambda: dict(
+        r0=numeric.rounded("order_amount", 0),
+        r1=numeric.rounded("order_amount", 1),
+        r4=numeric.rounded(_amount() / 7, 4),
+    ),
 )
 _orders_query(
     "F10_elementary_functions",
     f"""{r(f"exp(-{d('order_amount')} / 100000)", 6)} AS e, {r(f"sqrt({d('order_amount')})", 4)} AS s,
         abs({d('order_amount')} - 250000) AS a, CAST(ceil({d('order_amount')} / 100) AS BIGINT) AS c,
         least(greatest({d('order_amount')}, 5000), 400000) AS bounded""",
-    e=numeric.rounded(F.exp(-_AMOUNT / 100000), 6),
-    s=numeric.rounded(F.sqrt(_AMOUNT), 4),
-    a=F.abs(_AMOUNT - 250000),
-    c=F.ceil(_AMOUNT / 100),
-    bounded=numeric.clipped(_AMOUNT, 5000.0, 400000.0),
+    lambda: dict(
+        e=numeric.rounded(F.exp(-_amount() / 100000), 6),
+        s=numeric.rounded(F.sqrt(_amount()), 4),
+        a=F.abs(_amount() - 250000),
+        c=F.ceil(_amount() / 100),
+        bounded=numeric.clipped(_amount(), 5000.0, 400000.0),
+    ),
 )
-_MAYBE = F.nullif(F.col("customer_id") % 3, F.lit(0))
 _orders_query(
     "F11_null_handling",
     """nullif(customer_id % 3, 0) AS maybe, coalesce(nullif(customer_id % 3, 0), -1) AS filled,
        order_id / CAST(nullif(customer_id % 3, 0) AS DOUBLE) AS guarded""",
-    maybe=_MAYBE,
-    filled=F.coalesce(_MAYBE, F.lit(-1)),
-    guarded=numeric.ratio("order_id", F.col("customer_id") % 3),
+    lambda: dict(
+        maybe=_maybe(),
+        filled=F.coalesce(_maybe(), F.lit(-1)),
+        guarded=numeric.ratio("order_id", F.col("customer_id") % 3),
+    ),
 )
 _orders_query(
     "F12_case_ladder",
     """CASE WHEN order_amount >= 400000 THEN 'large' WHEN order_amount >= 100000 THEN 'medium'
        ELSE 'small' END AS size""",
-    size=numeric.first_match(
+    lambda: dict(
+        size=numeric.first_match(
         [(F.col("order_amount") >= 400000, "large"), (F.col("order_amount") >= 100000, "medium")],
         "small",
     ),
+    ),
 )
 _orders_query(
     "F13_score_cell",
     """CAST(order_id % 5 + 1 AS VARCHAR) || CAST(customer_id % 5 + 1 AS VARCHAR) || '3' AS cell""",
-    cell=text.score_cell(F.col("order_id") % 5 + 1, F.col("customer_id") % 5 + 1, F.lit(3)),
+    lambda: dict(
+        cell=text.score_cell(F.col("order_id") % 5 + 1, F.col("customer_id") % 5 + 1, F.lit(3)),
+    ),
 )
 _orders_query(
     "F14_money_and_percent_text",
     """'$' || format('{:,.2f}', CAST(order_amount AS DOUBLE)) AS money,
        format('{:,.1f}', CAST(order_id % 1000 AS DOUBLE)) || '%' AS pct""",
-    money=text.dollars(_AMOUNT, 2),
-    pct=text.percentage((F.col("order_id") % 1000).cast("double"), 1),
+    lambda: dict(
+        money=text.dollars(_amount(), 2),
+        pct=text.percentage((F.col("order_id") % 1000).cast("double"), 1),
+    ),
 )
 _orders_query(
     "F15_label_lookup",
     """CASE order_id % 4 WHEN 0 THEN 'north' WHEN 1 THEN 'east' WHEN 2 THEN 'south' END AS side""",
-    side=text.lookup((F.col("order_id") % 4).cast("int"), {0: "north", 1: "east", 2: "south"}),
+    lambda: dict(
+        side=text.lookup((F.col("order_id") % 4).cast("int"), {0: "north", 1: "east", 2: "south"}),
+    ),
 )
 _orders_query(
     "F16_month_text",
     "strftime(order_date, '%Y-%m') AS month",
-    month=text.month_text("order_date"),
+    lambda: dict(
+        month=text.month_text("order_date"),
+    ),
 )
