@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from clientele.functions.numeric import percent, ratio, rounded
 from clientele.functions.ordering import Sample, percentiles
-from clientele.operators.descriptive import flag_top_share, grouped_percentiles
 from clientele.sources.scratch import materialise
 
 ENGAGEMENT = ("weekly_visits", "session_time_minutes", "page_views", "app_opens")
@@ -34,27 +33,40 @@ def joined_base(customers: DataFrame, engagement: DataFrame, promotions: DataFra
     )
 
 
-def analytic_base(
-    customers: DataFrame,
-    engagement: DataFrame,
-    promotions: DataFrame,
-    outlier_quantile: float = 0.99,
-) -> DataFrame:
-    """The joined table with medians for missing measurements and outlier flags."""
-    base = materialise(joined_base(customers, engagement, promotions))
+def with_behaviour(customers: DataFrame, behaviour: DataFrame) -> DataFrame:
+    """The same table where engagement and response come as one row per customer."""
+    columns = behaviour.select(
+        "customer_id", *ENGAGEMENT, F.col("responded").alias("num_promotions_responded")
+    )
+    return customers.join(columns, "customer_id", "left").withColumn(
+        "num_promotions_responded",
+        F.coalesce(F.col("num_promotions_responded").cast("long"), F.lit(0)),
+    )
+
+
+def analytic_base(joined: DataFrame, outlier_quantile: float = 0.99) -> DataFrame:
+    """The joined table with medians for missing measurements and outlier flags.
+
+    All four quantiles are found together.
+    """
+    base = materialise(joined)
     filled = ("session_time_minutes", "page_views")
-    medians = percentiles(base, [(Sample(F.col(c)), [0.5]) for c in filled])
-    imputed = base.withColumns(
+    flags = {"total_spent": "high_spender", "weekly_visits": "high_engagement"}
+    found = percentiles(
+        base,
+        [(Sample(F.col(c)), [0.5]) for c in filled]
+        + [(Sample(F.col(c)), [outlier_quantile]) for c in flags],
+    )
+    edges = {c: edge for c, (edge,) in zip([*filled, *flags], found)}
+    return base.withColumns(
         {
-            c: F.coalesce(F.col(c).cast("double"), F.lit(median))
-            for c, (median,) in zip(filled, medians)
+            **{c: F.coalesce(F.col(c).cast("double"), F.lit(edges[c])) for c in filled},
+            **{
+                flag: F.coalesce(F.col(c).cast("double") >= F.lit(edges[c]), F.lit(False))
+                for c, flag in flags.items()
+            },
         }
     )
-    return flag_top_share(
-        imputed,
-        {"total_spent": "high_spender", "weekly_visits": "high_engagement"},
-        outlier_quantile,
-    )
 
 
 def apply_filters(
@@ -95,15 +107,16 @@ def fixed_sample(df: DataFrame, key: str, n: int) -> DataFrame:
 
 def tier_statistics(base: DataFrame, tiers: Sequence[str] = TIERS) -> DataFrame:
     """Mean, median, extremes and sums of three measures per tier."""
-    medians = {
-        c: grouped_percentiles(base, "customer_tier", tiers, c, [0.5])
-        for c in ("total_spent", "weekly_visits")
-    }
+    wanted = [(c, tier) for c in ("total_spent", "weekly_visits") for tier in tiers]
+    found = percentiles(
+        base, [(Sample(F.col(c), F.col("customer_tier") == tier), [0.5]) for c, tier in wanted]
+    )
+    medians = dict(zip(wanted, found))
 
     def median(column: str) -> Column:
         ladder = F.when(F.lit(False), F.lit(None).cast("double"))
         for tier in tiers:
-            (value,) = medians[column][tier]
+            (value,) = medians[column, tier]
             ladder = ladder.when(F.col("customer_tier") == tier, F.lit(value))
         return rounded(ladder, 2).alias(f"{column}_median")
 

@@ -17,14 +17,12 @@ from clientele.sources.sinks import (
 )
 
 
-def training_table(
-    customers: DataFrame, engagement: DataFrame, promotions: DataFrame
-) -> DataFrame:
+def training_table(joined: DataFrame) -> DataFrame:
     """Base table with features, numeric inputs, label and class weights.
 
     Customers without any event count as having no visits and no app opens.
     """
-    base = customer360.analytic_base(customers, engagement, promotions)
+    base = customer360.analytic_base(joined)
     filled = base.na.fill(0, ["weekly_visits", "app_opens"])
     return materialise(models.labelled(features.training_features(filled)))
 
@@ -51,9 +49,7 @@ class Outcome:
 
 
 def run(
-    customers: DataFrame,
-    engagement: DataFrame,
-    promotions: DataFrame,
+    joined: DataFrame,
     train_years,
     test_years,
     settings: models.Settings = models.Settings(),
@@ -61,7 +57,7 @@ def run(
     cross_validation: bool = True,
 ) -> Outcome:
     """Prepare, split, fit, compare, explain, score everyone, and save when told where."""
-    table = training_table(customers, engagement, promotions)
+    table = training_table(joined)
     standard = standard_split(table)
     comparison = models.compare(
         {

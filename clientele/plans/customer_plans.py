@@ -13,7 +13,7 @@ from clientele.sources.scratch import materialise
 
 
 def joined(t: Tables):
-    return customer360.joined_base(t.customers, t.engagement, t.promotions)
+    return customer360.with_behaviour(t.customers, t.behaviour)
 
 
 def scored(t: Tables):
@@ -301,7 +301,8 @@ _BASE_COLUMNS = (
     ).replace("num_promotions_responded,", "CAST(num_promotions_responded AS BIGINT) AS num_promotions_responded,"),
 )
 def _(t):
-    return joined(t).select(*_BASE_COLUMNS, F.col("total_spent").cast("double").alias("total_spent"))
+    chained = customer360.joined_base(t.customers, t.engagement, t.promotions)
+    return chained.select(*_BASE_COLUMNS, F.col("total_spent").cast("double").alias("total_spent"))
 
 
 _S12 = with_tables(
@@ -320,7 +321,7 @@ _S12 = with_tables(
 
 @query("S12_analytic_base", _S12)
 def _(t):
-    base = customer360.analytic_base(t.customers, t.engagement, t.promotions)
+    base = customer360.analytic_base(joined(t))
     return base.select(
         "customer_id",
         "customer_tier",

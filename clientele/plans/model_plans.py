@@ -28,12 +28,11 @@ BRISK = models.Settings(trees=50, tree_depth=8, boosting_rounds=20, folds=3)
 
 def partly_missing(t: Tables) -> DataFrame:
     """A table with gaps of every kind: measures, a flag and texts."""
-    answered = t.promotions.select("customer_id", "responded", "campaign_name")
-    return (
-        t.customers.select("customer_id", "country", "age", F.col("churned").cast("int").alias("churn"))
-        .join(t.engagement, "customer_id", "left")
-        .join(answered, "customer_id", "left")
+    people = t.customers.select(
+        "customer_id", "country", "age", F.col("churned").cast("int").alias("churn")
     )
+    seen = t.behaviour.drop("discount", "variant", "additional_revenue")
+    return people.join(seen, "customer_id", "left")
 
 
 define(
@@ -199,7 +198,7 @@ def _(t):
 
 @query("M6_one_hot_regression")
 def _(t):
-    table = training.training_table(t.customers, t.engagement, t.promotions)
+    table = training.training_table(joined(t))
     model = models.logistic(BRISK, one_hot=True).fit(table)
     return models.coefficients(model, table).orderBy(F.desc("coefficient"))
 
@@ -371,7 +370,7 @@ def _(t):
 
 
 def table(t: Tables) -> DataFrame:
-    return training.training_table(t.customers, t.engagement, t.promotions)
+    return training.training_table(joined(t))
 
 
 @query("M10_standardised_features")
@@ -511,9 +510,7 @@ def _(t):
 @query("M28_end_to_end")
 def _(t):
     outcome = training.run(
-        t.customers,
-        t.engagement,
-        t.promotions,
+        joined(t),
         TRAIN_YEARS,
         TEST_YEARS,
         BRISK,

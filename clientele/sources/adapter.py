@@ -12,10 +12,15 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clientele.functions.calendar import epoch_micros, tenure_months
 from clientele.functions.numeric import first_match, rounded
-from clientele.sources.schemas import MONEY
+from clientele.sources.schemas import (
+    ENGAGEMENT_BEHAVIOR,
+    MARKETING_PROMOTIONS,
+    MONEY,
+)
 
 # Fixed values of the mapping.
 FIRST_SIGNUP = "1995-01-01"
@@ -110,71 +115,77 @@ def event_slots(events: DataFrame) -> DataFrame:
     )
 
 
-def engagement_from_slots(slots: DataFrame, span_days: Column) -> DataFrame:
-    """One row per active user; a gap above half an hour starts a new session."""
+def behaviour_from_slots(
+    slots: DataFrame, span_days: Column, response_days: int = RESPONSE_DAYS
+) -> DataFrame:
+    """One row per active user: engagement, campaign, arm and response.
+
+    A gap above half an hour starts a new session. The arm depends on the user
+    id alone, never on the outcome. A user responds by buying on the day of the
+    first event or within ``response_days`` after it. Both windows have the
+    partitioning of the final grouping, so the slots are shuffled once.
+    """
     order = W.partitionBy("user_id").orderBy("slot")
-    gap = F.col("first_at") - F.lag("last_at").over(order)
+    day = F.floor(F.col("first_at") / F.lit(86_400_000_000))
+    prepared = slots.withColumns(
+        {
+            "gap": F.col("first_at") - F.lag("last_at").over(order),
+            "since_start": day - F.first(day).over(order),
+        }
+    )
     held = F.when(F.col("gap") <= SESSION_GAP_MICROS, F.col("gap")).otherwise(F.lit(0))
-    busy = F.sum(F.col("last_at") - F.col("first_at") + held)
-    sessions = F.lit(1) + F.count_if(F.col("gap") > SESSION_GAP_MICROS)
+    inside = F.col("since_start") <= response_days
+    user = F.col("customer_id")
+    names = F.array(*[F.lit(c) for c in CAMPAIGNS])
     return (
-        slots.withColumn("gap", gap)
-        .groupBy(F.col("user_id").alias("customer_id"))
+        prepared.groupBy(F.col("user_id").alias("customer_id"))
         .agg(
             F.sum("views").alias("page_views"),
             F.sum("clicks").alias("app_opens"),
-            (busy / F.lit(60_000_000.0) / sessions).alias("minutes"),
+            F.sum(F.col("last_at") - F.col("first_at") + held).alias("busy"),
+            (F.lit(1) + F.count_if(F.col("gap") > SESSION_GAP_MICROS)).alias("sessions"),
+            F.sum(F.when(inside, F.col("buys"))).alias("buys"),
+            F.sum(F.when(inside, F.col("buy_amount"))).alias("buy_amount"),
         )
         .select(
             "customer_id",
             F.floor(F.col("page_views") * 7 / span_days).alias("weekly_visits"),
-            rounded("minutes", 4).alias("session_time_minutes"),
+            rounded(F.col("busy") / F.lit(60_000_000.0) / F.col("sessions"), 4).alias(
+                "session_time_minutes"
+            ),
             "page_views",
             "app_opens",
-        )
-    )
-
-
-def promotions_from_slots(slots: DataFrame, response_days: int = RESPONSE_DAYS) -> DataFrame:
-    """One row per active user: campaign, arm, and whether a purchase followed.
-
-    The arm depends on the user id alone, never on the outcome. A user responds
-    by buying on the day of the first event or within ``response_days`` after it.
-    """
-    day = F.floor(F.col("first_at") / F.lit(86_400_000_000))
-    since_start = day - F.min(day).over(W.partitionBy("user_id"))
-    inside = F.col("since_start") <= response_days
-    user = F.col("customer_id")
-    names = F.array(*[F.lit(c) for c in CAMPAIGNS])
-    return (
-        slots.withColumn("since_start", since_start)
-        .groupBy(F.col("user_id").alias("customer_id"))
-        .agg(
-            F.coalesce(F.sum(F.when(inside, F.col("buys"))), F.lit(0)).alias("buys"),
-            F.coalesce(F.sum(F.when(inside, F.col("buy_amount"))), F.lit(0))
-            .cast(MONEY)
-            .alias("additional_revenue"),
-        )
-        .select(
-            "customer_id",
             F.get(names, (user % len(CAMPAIGNS)).cast("int")).alias("campaign_name"),
             ((F.lit(10) + 5 * (F.floor(user / 10) % 5)) / F.lit(100.0)).alias("discount"),
             (F.floor(user / 5) % 2).cast("int").alias("variant"),
             (F.col("buys") > 0).cast("int").alias("responded"),
-            "additional_revenue",
+            F.coalesce("buy_amount", F.lit(0)).cast(MONEY).alias("additional_revenue"),
         )
     )
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Tables:
-    """The logical tables of one data folder, each built on first use."""
+    """The logical tables of one data folder, each built on first use.
+
+    A file's schema is read once per process; later readers name it, which
+    spares them the job that looks into the footers.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        reader = self.spark.read
+        if path in _SCHEMAS:
+            return reader.schema(_SCHEMAS[path]).parquet(path)
+        df = reader.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
 
     @cached_property
     def purchases(self) -> DataFrame:
@@ -189,18 +200,20 @@ class Tables:
         return self.purchases.agg(F.max("order_date")).scalar()
 
     @cached_property
-    def slots(self) -> DataFrame:
-        return event_slots(self.raw("events"))
+    def behaviour(self) -> DataFrame:
+        """Engagement and promotions side by side, from one pass over the events."""
+        events = self.raw("events")
+        day = F.col("ts").cast("date")
+        span = events.agg(F.datediff(F.max(day), F.min(day)) + 1).scalar()
+        return behaviour_from_slots(event_slots(events), span)
 
     @cached_property
     def engagement(self) -> DataFrame:
-        day = F.col("ts").cast("date")
-        span = self.raw("events").agg(F.datediff(F.max(day), F.min(day)) + 1).scalar()
-        return engagement_from_slots(self.slots, span)
+        return self.behaviour.select(*ENGAGEMENT_BEHAVIOR.fieldNames())
 
     @cached_property
     def promotions(self) -> DataFrame:
-        return promotions_from_slots(self.slots)
+        return self.behaviour.select(*MARKETING_PROMOTIONS.fieldNames())
 
     @cached_property
     def demographics(self) -> DataFrame:
