@@ -186,20 +186,19 @@ def chi_square_test(m: DataFrame, alpha: float = 0.05) -> DataFrame:
 
 
 def effect_size(m: DataFrame) -> DataFrame:
-    """Cohen's d with the pooled deviation; zero when there is no variance."""
+    """Cohen's d with the pooled deviation; zero when there is none or it is undefined."""
     nc, nt = F.col("control_n"), F.col("treatment_n")
     pooled = F.sqrt(
         ((nc - 1) * F.col("control_var") + (nt - 1) * F.col("treatment_var"))
         / F.nullif((nc + nt - 2).cast("double"), F.lit(0.0))
     )
     difference = F.col("treatment_mean") - F.col("control_mean")
-    d = F.when(F.col("_pooled") > 0, difference / F.nullif(F.col("_pooled"), F.lit(0.0))).when(
-        F.col("_pooled") == 0, F.lit(0.0)
+    d = F.when(F.col("_pooled") > 0, difference / F.nullif(F.col("_pooled"), F.lit(0.0))).otherwise(
+        F.lit(0.0)
     )
     size = F.abs(F.col("_d"))
-    magnitude = F.when(
-        F.col("_d").isNotNull(),
-        first_match([(size < 0.2, "negligible"), (size < 0.5, "small"), (size < 0.8, "medium")], "large"),
+    magnitude = first_match(
+        [(size < 0.2, "negligible"), (size < 0.5, "small"), (size < 0.8, "medium")], "large"
     )
     return (
         m.withColumn("_pooled", pooled)

@@ -47,7 +47,7 @@ def weekly_series(
     )
     if drop_partial_last:
         newest = F.max("last_day").over(W.partitionBy("series_key"))
-        sums = sums.where(F.col("week_end") <= newest)
+        sums = sums.withColumn("_newest", newest).where(F.col("week_end") <= F.col("_newest"))
     calendar = sums.groupBy("series_key").agg(
         F.explode(
             F.sequence(F.min("week_end"), F.max("week_end"), F.expr("INTERVAL 7 DAYS"))

@@ -109,10 +109,10 @@ def customer_spend(purchases: DataFrame) -> DataFrame:
     )
 
 
-def categories_per_customer(lines: DataFrame) -> DataFrame:
+def categories_per_customer(category_orders: DataFrame) -> DataFrame:
     """Number of different categories each customer bought from."""
     return (
-        lines.groupBy("customer_id", "product_category")
+        category_orders.groupBy("customer_id", "product_category")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("customer_id")
         .agg(F.count("product_category").alias("categories_purchased"))
@@ -169,20 +169,13 @@ def top_year_value(spend: DataFrame, customers: DataFrame, n: int = 10) -> DataF
     return top.withColumn("clv_rank", F.rank().over(W.orderBy(F.desc("clv_12m"))).cast("long"))
 
 
-def category_stats(lines: DataFrame) -> DataFrame:
+def category_stats(category_orders: DataFrame) -> DataFrame:
     """Orders, buyers, revenue, mean, smallest and largest line per category.
 
-    Reduced to category and order, then to category and buyer, then to
-    category: every distinct count is a count of rows.
+    From one row per order and category to one per buyer and category to one
+    per category: every distinct count is a count of rows.
     """
-    per_order = lines.groupBy("product_category", "order_id").agg(
-        F.min("customer_id").alias("customer_id"),
-        F.sum("order_amount").alias("amount"),
-        F.count(F.lit(1)).alias("rows"),
-        F.min("order_amount").alias("low"),
-        F.max("order_amount").alias("high"),
-    )
-    per_buyer = per_order.groupBy("product_category", "customer_id").agg(
+    per_buyer = category_orders.groupBy("product_category", "customer_id").agg(
         F.sum("amount").alias("amount"),
         F.sum("rows").alias("rows"),
         F.count(F.lit(1)).alias("orders"),
@@ -244,10 +237,10 @@ def leading_categories(shares: DataFrame, share: float = 0.80) -> DataFrame:
     )
 
 
-def category_rollup(lines: DataFrame) -> DataFrame:
+def category_rollup(items: DataFrame) -> DataFrame:
     """Revenue and rows per category with a grand-total row."""
     return (
-        lines.rollup("product_category")
+        items.rollup("product_category")
         .agg(
             F.sum("order_amount").cast("double").alias("total_revenue"),
             F.count(F.lit(1)).alias("line_count"),
@@ -262,10 +255,10 @@ def category_rollup(lines: DataFrame) -> DataFrame:
     )
 
 
-def revenue_by(lines: DataFrame, key: str) -> DataFrame:
+def revenue_by(items: DataFrame, key: str) -> DataFrame:
     """Revenue, rows and mean line by one column."""
     return (
-        lines.groupBy(key)
+        items.groupBy(key)
         .agg(F.sum("order_amount").alias("amount"), F.count(F.lit(1)).alias("orders"))
         .select(
             key,
@@ -276,15 +269,15 @@ def revenue_by(lines: DataFrame, key: str) -> DataFrame:
     )
 
 
-def top_category_trend(lines: DataFrame, n: int = 3) -> DataFrame:
+def top_category_trend(category_orders: DataFrame, n: int = 3) -> DataFrame:
     """Monthly revenue of the ``n`` categories with the highest revenue.
 
     Summed to month and category first; the top categories are picked from and
     joined to that small table, so the lines are read once.
     """
-    by_month = lines.groupBy(month_of("order_date").alias("month"), "product_category").agg(
-        F.sum("order_amount").cast("double").alias("revenue")
-    )
+    by_month = category_orders.groupBy(
+        month_of("order_date").alias("month"), "product_category"
+    ).agg(F.sum("amount").cast("double").alias("revenue"))
     totals = F.sum(F.col("revenue").cast("decimal(28,2)")).over(W.partitionBy("product_category"))
     place = F.dense_rank().over(W.orderBy(F.desc("_total"), "product_category"))
     return (

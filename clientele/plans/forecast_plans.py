@@ -125,8 +125,8 @@ def weekly(t: Tables) -> DataFrame:
 
     The category sums are added up for the whole: the lines are read once.
     """
-    per_category = t.lines.groupBy("product_category", "order_date").agg(
-        F.sum("order_amount").alias("order_amount"), F.count(F.lit(1)).alias("rows")
+    per_category = t.category_orders.groupBy("product_category", "order_date").agg(
+        F.sum("amount").alias("order_amount"), F.sum("rows").alias("rows")
     )
     stacked = per_category.select(
         F.explode(F.array("product_category", F.lit(forecast.ALL))).alias("series"),

@@ -129,7 +129,7 @@ def _(t):
     ),
 )
 def _(t):
-    return revenue.categories_per_customer(t.lines)
+    return revenue.categories_per_customer(t.category_orders)
 
 
 @query(
@@ -287,7 +287,7 @@ def _(t):
 
 @query("A7_category_stats", with_tables("category_stats", "SELECT * FROM category_stats"))
 def _(t):
-    return revenue.category_stats(t.lines)
+    return revenue.category_stats(t.category_orders)
 
 
 @query(
@@ -295,7 +295,7 @@ def _(t):
     with_tables("category_shares", "SELECT * FROM category_shares"),
 )
 def _(t):
-    return revenue.category_shares(revenue.category_stats(t.lines))
+    return revenue.category_shares(revenue.category_stats(t.category_orders))
 
 
 @query(
@@ -306,7 +306,7 @@ def _(t):
     ),
 )
 def _(t):
-    shares = revenue.category_shares(revenue.category_stats(t.lines))
+    shares = revenue.category_shares(revenue.category_stats(t.category_orders))
     return shares.select("product_category", "revenue_share_pct", "order_share_pct")
 
 
@@ -321,7 +321,7 @@ def _(t):
     ),
 )
 def _(t):
-    return revenue.leading_categories(revenue.category_shares(revenue.category_stats(t.lines)))
+    return revenue.leading_categories(revenue.category_shares(revenue.category_stats(t.category_orders)))
 
 
 @query(
@@ -336,7 +336,7 @@ def _(t):
     ),
 )
 def _(t):
-    return revenue.category_rollup(t.lines)
+    return revenue.category_rollup(t.items)
 
 
 def _revenue_by(key: str) -> str:
@@ -350,14 +350,14 @@ def _revenue_by(key: str) -> str:
 
 @query("A18_revenue_by_category", _revenue_by("product_category"))
 def _(t):
-    return revenue.revenue_by(t.lines, "product_category").orderBy(
+    return revenue.revenue_by(t.items, "product_category").orderBy(
         F.desc("revenue"), "product_category"
     )
 
 
 @query("A20_discount_impact", _revenue_by("discount_used"))
 def _(t):
-    return revenue.revenue_by(t.lines, "discount_used")
+    return revenue.revenue_by(t.items, "discount_used")
 
 
 define(
@@ -379,7 +379,7 @@ define(
     ),
 )
 def _(t):
-    return revenue.top_category_trend(t.lines)
+    return revenue.top_category_trend(t.category_orders)
 
 
 @query(
@@ -392,12 +392,12 @@ def _(t):
 )
 def _(t):
     top = (
-        revenue.revenue_by(t.lines, "product_category")
+        revenue.revenue_by(t.items, "product_category")
         .orderBy(F.desc("revenue"), "product_category")
         .limit(3)
         .select("product_category")
     )
-    kept = t.lines.join(F.broadcast(top), "product_category", "left_semi")
+    kept = t.items.join(F.broadcast(top), "product_category", "left_semi")
     return kept.groupBy("product_category", "discount_used").agg(F.count(F.lit(1)).alias("n"))
 
 

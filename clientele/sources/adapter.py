@@ -45,12 +45,12 @@ def purchases_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def purchase_lines(lineitem: DataFrame, purchases: DataFrame, part: DataFrame) -> DataFrame:
+def purchase_items(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """One row per order line with its category and discount.
 
-    Both joins are by key and left to the planner: a part table small enough is
-    broadcast by its measured size, otherwise the sort-merge join is split on
-    hot keys by adaptive execution.
+    The join is left to the planner: a part table small enough is broadcast by
+    its measured size; otherwise adaptive execution splits the sort-merge join
+    on parts that occur in very many lines.
     """
     price = F.col("l_extendedprice").cast(MONEY)
     discount = F.col("l_discount").cast("decimal(4,2)")
@@ -64,20 +64,27 @@ def purchase_lines(lineitem: DataFrame, purchases: DataFrame, part: DataFrame) -
     categories = part.select(
         F.col("p_partkey").alias("part_id"), F.col("p_type").alias("product_category")
     )
-    headers = purchases.select("order_id", "customer_id", "order_date")
-    return (
-        lines.join(categories, "part_id")
-        .join(headers, "order_id")
-        .select(
-            "order_id",
-            "customer_id",
-            "order_date",
-            "order_amount",
-            "product_category",
-            "discount_used",
-            "discount_value",
-        )
+    return lines.join(categories, "part_id").drop("part_id")
+
+
+def purchase_lines(items: DataFrame, purchases: DataFrame) -> DataFrame:
+    """The lines with customer and date of their order."""
+    return items.join(purchases.select("order_id", "customer_id", "order_date"), "order_id")
+
+
+def category_orders(items: DataFrame, purchases: DataFrame) -> DataFrame:
+    """One row per order and category: summed lines with the order's customer and date.
+
+    Lines are summed before they meet their order, so an order with any number
+    of lines brings no more rows to that join than there are categories.
+    """
+    summed = items.groupBy("order_id", "product_category").agg(
+        F.sum("order_amount").alias("amount"),
+        F.count(F.lit(1)).alias("rows"),
+        F.min("order_amount").alias("low"),
+        F.max("order_amount").alias("high"),
     )
+    return summed.join(purchases.select("order_id", "customer_id", "order_date"), "order_id")
 
 
 def spend_per_customer(purchases: DataFrame, snapshot: Column) -> DataFrame:
@@ -191,9 +198,17 @@ class Tables:
     def purchases(self) -> DataFrame:
         return purchases_from_orders(self.raw("orders"))
 
+    @cached_property
+    def items(self) -> DataFrame:
+        return purchase_items(self.raw("lineitem"), self.raw("part"))
+
     @cached_property
     def lines(self) -> DataFrame:
-        return purchase_lines(self.raw("lineitem"), self.purchases, self.raw("part"))
+        return purchase_lines(self.items, self.purchases)
+
+    @cached_property
+    def category_orders(self) -> DataFrame:
+        return category_orders(self.items, self.purchases)
 
     def snapshot(self) -> Column:
         """The last order date, as a scalar subquery."""
