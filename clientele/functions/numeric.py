@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+CENT = Decimal("0.01")
+
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -43,6 +46,17 @@ def clipped(
     return F.when(source.isNotNull(), out)
 
 
+def money_sum(amount: Column | str) -> Column:
+    """Exact sum of a two-digit decimal, added up as whole cents in a long.
+
+    A decimal sum keeps an object per group; a long stays in the aggregation
+    buffer itself. Good for amounts below 9e13 and groups below 9e16; beyond
+    that the sum fails instead of wrapping.
+    """
+    cents = F.rint(col(amount).cast("double") * 100).cast("long")
+    return (F.sum(cents).cast("decimal(20,0)") * F.lit(CENT)).cast("decimal(28,2)")
+
+
 def upper_edge_label(c: Column | str, edges: Sequence[float], labels: Sequence) -> Column:
     """Label by the first upper edge not exceeded; past the last one, the last label.
 

@@ -14,13 +14,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clientele.functions.calendar import month_of, months_between_starts
-from clientele.functions.numeric import percent, ratio, rounded
+from clientele.functions.numeric import money_sum, percent, ratio, rounded
 from clientele.sources.schemas import require_columns
 
 
 def active_months(purchases: DataFrame) -> DataFrame:
     return purchases.groupBy("customer_id", month_of("order_date").alias("order_month")).agg(
-        F.sum("order_amount").alias("amount"), F.count(F.lit(1)).alias("orders")
+        money_sum("order_amount").alias("amount"), F.count(F.lit(1)).alias("orders")
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clientele.functions.calendar import month_of, months_between_starts
-from clientele.functions.numeric import percent, ratio, rounded
+from clientele.functions.numeric import money_sum, percent, ratio, rounded
 
 MARGIN = 0.30
 
@@ -21,7 +21,7 @@ def monthly_revenue(purchases: DataFrame) -> DataFrame:
     rows instead of by a distinct aggregate.
     """
     per_buyer = purchases.groupBy(month_of("order_date").alias("month"), "customer_id").agg(
-        F.sum("order_amount").alias("amount"), F.count(F.lit(1)).alias("orders")
+        money_sum("order_amount").alias("amount"), F.count(F.lit(1)).alias("orders")
     )
     return (
         per_buyer.groupBy("month")
@@ -44,7 +44,7 @@ def monthly_totals(purchases: DataFrame) -> DataFrame:
     """Revenue, order rows and mean order per month; one shuffle of one row per month."""
     return (
         purchases.groupBy(month_of("order_date").alias("month"))
-        .agg(F.sum("order_amount").alias("amount"), F.count(F.lit(1)).alias("orders"))
+        .agg(money_sum("order_amount").alias("amount"), F.count(F.lit(1)).alias("orders"))
         .select(
             "month",
             F.col("amount").cast("double").alias("revenue"),
@@ -93,7 +93,7 @@ def customer_spend(purchases: DataFrame) -> DataFrame:
     return (
         purchases.groupBy("customer_id")
         .agg(
-            F.sum("order_amount").alias("amount"),
+            money_sum("order_amount").alias("amount"),
             F.count(F.lit(1)).alias("total_orders"),
             F.min("order_date").alias("first_purchase"),
             F.max("order_date").alias("last_purchase"),
@@ -242,7 +242,7 @@ def category_rollup(items: DataFrame) -> DataFrame:
     return (
         items.rollup("product_category")
         .agg(
-            F.sum("order_amount").cast("double").alias("total_revenue"),
+            money_sum("order_amount").cast("double").alias("total_revenue"),
             F.count(F.lit(1)).alias("line_count"),
             F.grouping_id().cast("int").alias("is_total"),
         )
@@ -259,7 +259,7 @@ def revenue_by(items: DataFrame, key: str) -> DataFrame:
     """Revenue, rows and mean line by one column."""
     return (
         items.groupBy(key)
-        .agg(F.sum("order_amount").alias("amount"), F.count(F.lit(1)).alias("orders"))
+        .agg(money_sum("order_amount").alias("amount"), F.count(F.lit(1)).alias("orders"))
         .select(
             key,
             F.col("amount").cast("double").alias("revenue"),
@@ -335,7 +335,7 @@ def purchase_overview(purchases: DataFrame) -> DataFrame:
         F.min("order_date").alias("first"),
         F.max("order_date").alias("last"),
         F.count(F.lit(1)).alias("orders"),
-        F.sum("order_amount").alias("amount"),
+        money_sum("order_amount").alias("amount"),
     )
     return per_customer.agg(
         F.min("first").alias("first_date"),

@@ -11,7 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clientele.functions.numeric import first_match, percent, ratio, rounded, upper_edge_label
+from clientele.functions.numeric import (
+    first_match,
+    money_sum,
+    percent,
+    ratio,
+    rounded,
+    upper_edge_label,
+)
 from clientele.functions.ordering import (
     Sample,
     Tiling,
@@ -79,7 +86,7 @@ def rfm_values(
         day = F.lit(snapshot).cast("date") if isinstance(snapshot, str) else snapshot
     per_customer = purchases.groupBy(F.col(customer_id).alias("customer_id")).agg(
         F.count(F.lit(1)).alias("frequency"),
-        F.sum(amount).alias("monetary"),
+        money_sum(amount).alias("monetary"),
         F.min(date).alias("first_purchase"),
         F.max(date).alias("last_purchase"),
     )

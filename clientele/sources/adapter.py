@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from clientele.functions.calendar import epoch_micros, tenure_months
-from clientele.functions.numeric import first_match, rounded
+from clientele.functions.numeric import first_match, money_sum, rounded
 from clientele.sources.schemas import (
     ENGAGEMENT_BEHAVIOR,
     MARKETING_PROMOTIONS,
@@ -79,7 +79,7 @@ def category_orders(items: DataFrame, purchases: DataFrame) -> DataFrame:
     of lines brings no more rows to that join than there are categories.
     """
     summed = items.groupBy("order_id", "product_category").agg(
-        F.sum("order_amount").alias("amount"),
+        money_sum("order_amount").alias("amount"),
         F.count(F.lit(1)).alias("rows"),
         F.min("order_amount").alias("low"),
         F.max("order_amount").alias("high"),
@@ -92,7 +92,7 @@ def spend_per_customer(purchases: DataFrame, snapshot: Column) -> DataFrame:
     recent = F.col("order_date") > F.date_sub(snapshot, RECENT_DAYS)
     return purchases.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_orders"),
-        F.sum("order_amount").cast(MONEY).alias("total_spent"),
+        money_sum("order_amount").cast(MONEY).alias("total_spent"),
         F.max("order_date").alias("last_order_date"),
         F.count_if(recent).alias("recent_orders"),
     )
