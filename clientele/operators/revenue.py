@@ -237,13 +237,13 @@ def leading_categories(shares: DataFrame, share: float = 0.80) -> DataFrame:
     )
 
 
-def category_rollup(items: DataFrame) -> DataFrame:
-    """Revenue and rows per category with a grand-total row."""
+def category_rollup(totals: DataFrame) -> DataFrame:
+    """Revenue and lines per category with a grand-total row."""
     return (
-        items.rollup("product_category")
+        totals.rollup("product_category")
         .agg(
-            money_sum("order_amount").cast("double").alias("total_revenue"),
-            F.count(F.lit(1)).alias("line_count"),
+            F.sum("amount").cast("double").alias("total_revenue"),
+            F.sum("rows").alias("line_count"),
             F.grouping_id().cast("int").alias("is_total"),
         )
         .withColumn(
@@ -255,11 +255,11 @@ def category_rollup(items: DataFrame) -> DataFrame:
     )
 
 
-def revenue_by(items: DataFrame, key: str) -> DataFrame:
-    """Revenue, rows and mean line by one column."""
+def revenue_by(totals: DataFrame, key: str) -> DataFrame:
+    """Revenue, lines and mean line by one column of already summed lines."""
     return (
-        items.groupBy(key)
-        .agg(money_sum("order_amount").alias("amount"), F.count(F.lit(1)).alias("orders"))
+        totals.groupBy(key)
+        .agg(F.sum("amount").alias("amount"), F.sum("rows").alias("orders"))
         .select(
             key,
             F.col("amount").cast("double").alias("revenue"),

@@ -336,7 +336,7 @@ def _(t):
     ),
 )
 def _(t):
-    return revenue.category_rollup(t.items)
+    return revenue.category_rollup(t.item_totals)
 
 
 def _revenue_by(key: str) -> str:
@@ -350,14 +350,14 @@ def _revenue_by(key: str) -> str:
 
 @query("A18_revenue_by_category", _revenue_by("product_category"))
 def _(t):
-    return revenue.revenue_by(t.items, "product_category").orderBy(
+    return revenue.revenue_by(t.item_totals, "product_category").orderBy(
         F.desc("revenue"), "product_category"
     )
 
 
 @query("A20_discount_impact", _revenue_by("discount_used"))
 def _(t):
-    return revenue.revenue_by(t.items, "discount_used")
+    return revenue.revenue_by(t.item_totals, "discount_used")
 
 
 define(
@@ -392,13 +392,13 @@ def _(t):
 )
 def _(t):
     top = (
-        revenue.revenue_by(t.items, "product_category")
+        revenue.revenue_by(t.item_totals, "product_category")
         .orderBy(F.desc("revenue"), "product_category")
         .limit(3)
         .select("product_category")
     )
-    kept = t.items.join(F.broadcast(top), "product_category", "left_semi")
-    return kept.groupBy("product_category", "discount_used").agg(F.count(F.lit(1)).alias("n"))
+    kept = t.item_totals.join(F.broadcast(top), "product_category", "left_semi")
+    return kept.groupBy("product_category", "discount_used").agg(F.sum("rows").alias("n"))
 
 
 @query(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from clientele.functions.calendar import epoch_micros, tenure_months
+from clientele.functions.joins import lookup_join
 from clientele.functions.numeric import first_match, money_sum, rounded
 from clientele.sources.schemas import (
     ENGAGEMENT_BEHAVIOR,
@@ -45,26 +46,45 @@ def purchases_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def purchase_items(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """One row per order line with its category and discount.
-
-    The join is left to the planner: a part table small enough is broadcast by
-    its measured size; otherwise adaptive execution splits the sort-merge join
-    on parts that occur in very many lines.
-    """
+def priced_lines(lineitem: DataFrame) -> DataFrame:
     price = F.col("l_extendedprice").cast(MONEY)
     discount = F.col("l_discount").cast("decimal(4,2)")
-    lines = lineitem.select(
+    return lineitem.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("part_id"),
         price.alias("order_amount"),
         (discount >= DISCOUNT_FLOOR).alias("discount_used"),
         (price * discount).cast(MONEY).alias("discount_value"),
     )
-    categories = part.select(
+
+
+def categories(part: DataFrame) -> DataFrame:
+    return part.select(
         F.col("p_partkey").alias("part_id"), F.col("p_type").alias("product_category")
     )
-    return lines.join(categories, "part_id").drop("part_id")
+
+
+def purchase_items(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """One row per order line with its category and discount.
+
+    Parts that occur in very many lines do not burden a single task.
+    """
+    return lookup_join(priced_lines(lineitem), categories(part), "part_id", "order_id").drop(
+        "part_id"
+    )
+
+
+def item_totals(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Revenue and lines per part and discount flag, with the part's category.
+
+    Lines are summed before they meet their part: one row per part joins.
+    """
+    summed = (
+        priced_lines(lineitem)
+        .groupBy("part_id", "discount_used")
+        .agg(money_sum("order_amount").alias("amount"), F.count(F.lit(1)).alias("rows"))
+    )
+    return summed.join(categories(part), "part_id").drop("part_id")
 
 
 def purchase_lines(items: DataFrame, purchases: DataFrame) -> DataFrame:
@@ -202,6 +222,10 @@ class Tables:
     def items(self) -> DataFrame:
         return purchase_items(self.raw("lineitem"), self.raw("part"))
 
+    @cached_property
+    def item_totals(self) -> DataFrame:
+        return item_totals(self.raw("lineitem"), self.raw("part"))
+
     @cached_property
     def lines(self) -> DataFrame:
         return purchase_lines(self.items, self.purchases)
