@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from clientele.functions.calendar import month_of, months_between_starts
 from clientele.functions.numeric import money_sum, percent, ratio, rounded
 from clientele.sources.schemas import require_columns
+from clientele.sources.scratch import materialise
 
 
 def active_months(purchases: DataFrame) -> DataFrame:
@@ -145,7 +146,12 @@ def evaluated_period(rates: DataFrame, at_period: int = 3) -> DataFrame:
 
 
 def top_and_bottom(rates: DataFrame, n: int = 3, at_period: int = 3) -> DataFrame:
-    """The best and worst cohorts at a period, with the mean over all cohorts."""
+    """The best and worst cohorts at a period, with the mean over all cohorts.
+
+    The rates, one row per cohort and period, are read several times and so
+    computed once.
+    """
+    rates = materialise(rates)
     at = evaluated_period(rates, at_period).select(
         "cohort_month",
         "period_number",
@@ -197,7 +203,7 @@ def cohort_means(percentages: DataFrame) -> DataFrame:
 
 def ranked_cohorts(means: DataFrame, n: int = 5) -> DataFrame:
     """Top and bottom cohorts by mean retention and the gap between the extremes."""
-    usable = means.where(F.col("avg_retention").isNotNull())
+    usable = materialise(means.where(F.col("avg_retention").isNotNull()))
     whole = W.partitionBy()
     gap = rounded(F.max("avg_retention").over(whole) - F.min("avg_retention").over(whole), 4)
     measured = usable.select("cohort_month", "cohort_size", "avg_retention", gap.alias("gap"))

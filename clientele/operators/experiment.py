@@ -18,6 +18,7 @@ from clientele.functions.stats import (
     t_two_sided_udf,
 )
 from clientele.functions.text import dollars, percentage
+from clientele.sources.scratch import materialise
 
 ALL = "all"
 
@@ -326,8 +327,9 @@ def full_report(
     """One row per experiment with every test as a struct.
 
     The baseline of the sample size is the control's share of the two means.
+    The observations are read once: all parts share the materialised moments.
     """
-    m = moments(df, experiment, variant, metric, binary)
+    m = materialise(moments(df, experiment, variant, metric, binary))
     share = ratio("control_mean", F.col("control_mean") + F.col("treatment_mean"))
     baseline = F.greatest(F.coalesce(share, F.lit(0.01)), F.lit(0.01))
     tested = welch_test(m, alpha)

@@ -34,7 +34,8 @@ def weekly_series(
 
     Input that is already summed names its column of row counts in ``rows``.
 
-    A week ends on the Monday it is labelled with. ``drop_partial_last`` leaves
+    A week ends on the Monday it is labelled with. A week is followed by the
+    empty ones up to the next, so no second pass makes a calendar. ``drop_partial_last`` leaves
     out a last week that the data does not cover to its Monday.
     """
     name = F.lit(ALL) if key is None else F.col(key)
@@ -48,17 +49,18 @@ def weekly_series(
     if drop_partial_last:
         newest = F.max("last_day").over(W.partitionBy("series_key"))
         sums = sums.withColumn("_newest", newest).where(F.col("week_end") <= F.col("_newest"))
-    calendar = sums.groupBy("series_key").agg(
-        F.explode(
-            F.sequence(F.min("week_end"), F.max("week_end"), F.expr("INTERVAL 7 DAYS"))
-        ).alias("week_end")
+    following = F.lead("week_end").over(_by_week())
+    until = F.coalesce(F.date_sub("_next", 7), F.col("week_end"))
+    filled = sums.withColumn("_next", following).withColumn(
+        "_week", F.explode(F.sequence("week_end", until, F.expr("INTERVAL 7 DAYS")))
     )
-    return calendar.join(sums, ["series_key", "week_end"], "left").select(
+    own = F.col("_week") == F.col("week_end")
+    return filled.select(
         "series_key",
-        "week_end",
-        F.coalesce(F.col("amount").cast("double"), F.lit(0.0)).alias("revenue"),
-        F.coalesce("n_orders", F.lit(0)).alias("n_orders"),
-        rounded(ratio("amount", "n_orders"), 4).alias("avg_order_value"),
+        F.col("_week").alias("week_end"),
+        F.coalesce(F.when(own, F.col("amount").cast("double")), F.lit(0.0)).alias("revenue"),
+        F.coalesce(F.when(own, F.col("n_orders")), F.lit(0)).alias("n_orders"),
+        F.when(own, rounded(ratio("amount", "n_orders"), 4)).alias("avg_order_value"),
     )
 
 

@@ -10,6 +10,7 @@ from clientele.operators import forecast, revenue
 from clientele.plans.reference_sql import d, define, r, with_tables
 from clientele.plans.registry import query
 from clientele.sources.adapter import Tables
+from clientele.sources.scratch import materialise
 
 define(
     "weekly_sums",
@@ -300,7 +301,7 @@ def _(t):
     ),
 )
 def _(t):
-    series = weekly(t)
+    series = materialise(weekly(t))
     return forecast.forecast_summary(series, forecast.forecast(series)).drop("business_insight")
 
 
@@ -335,7 +336,7 @@ _COMBINED = with_tables(
 
 @query("T10_history_and_forecast", _COMBINED)
 def _(t):
-    series = averaged(t)
+    series = materialise(averaged(t))
     return forecast.history_and_forecast(series, forecast.forecast(series))
 
 
@@ -351,7 +352,7 @@ def _(t):
     ),
 )
 def _(t):
-    series = averaged(t)
+    series = materialise(averaged(t))
     combined = forecast.history_and_forecast(series, forecast.forecast(series))
     return combined.groupBy("data_type").agg(
         F.count(F.lit(1)).alias("n"),
