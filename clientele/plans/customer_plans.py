@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clientele.functions.numeric import clipped, rounded
+from clientele.functions.numeric import clipped
 from clientele.operators import campaign, churn, customer360, descriptive, revenue
 from clientele.plans.reference_sql import d, define, r, with_tables
 from clientele.plans.registry import query

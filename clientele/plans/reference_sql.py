@@ -137,7 +137,3 @@ def r(expression: str, digits: int) -> str:
 
 def d(expression: str) -> str:
     return f"CAST({expression} AS DOUBLE)"
-
-
-def n(expression: str) -> str:
-    return f"CAST({expression} AS BIGINT)"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,10 +17,12 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="clientele-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder if folder is not None else _temporary_folder()
+
+
+@cache
+def _temporary_folder() -> str:
+    return tempfile.mkdtemp(prefix="clientele-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -89,6 +89,20 @@ def test_shared_folder_is_the_sessions(spark):
     assert materialise(spark.range(4)).count() == 4
 
 
+def test_a_session_without_shared_folder_gets_one_temporary_folder():
+    class Bare:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            @staticmethod
+            def getConf():
+                return Bare.conf
+
+    assert shared_folder(Bare) == shared_folder(Bare)
+    assert Path(shared_folder(Bare)).is_dir()
+
+
 def _events(hot=3000):
     """One user with far more events than all others together, bursts and gaps."""
     rows, start = [], datetime.datetime(2024, 1, 1, 0, 0, 1)
