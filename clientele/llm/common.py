@@ -37,3 +37,12 @@ def packed(df: DataFrame) -> Column:
 def unpacked(df: DataFrame, row: str, names: list[str]) -> DataFrame:
     """The columns that ``packed`` put away."""
     return df.select(*[F.col(row).getField(n).alias(n) for n in names])
+
+
+def finite_vector(vector: Column) -> Column:
+    """Whether a vector takes part: not null, not zero, all components there and finite."""
+    number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    return F.coalesce(
+        vector.isNotNull() & F.forall(vector, number) & F.exists(vector, lambda x: x != 0),
+        F.lit(False),
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import chat, mixing, url_filter
+from clientele.llm import chat, embedding_dedup, mixing, simhash, url_filter
 from clientele.llm.common import UPPER, table, word_count
 from clientele.sources.scratch import materialise
 
@@ -78,6 +78,14 @@ def op2_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- embedding near-duplicates ---------------------------------------------
+
+
+@query
+def op3_embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.embedding_duplicates(table(spark, folder, "embeddings"))
+
+
 # --- URL filters -----------------------------------------------------------
 
 URL_RULES = (
@@ -124,6 +132,15 @@ def _url_sql() -> str:
 REFERENCE_SQL["op7_url_filter"] = _url_sql()
 
 
+# --- SimHash near-duplicates ------------------------------------------------
+
+
+@query
+def op8_simhash_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
 # --- mixing ----------------------------------------------------------------
 
 
