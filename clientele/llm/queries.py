@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import chat, embedding_dedup, mixing, simhash, url_filter
+from clientele.llm import (
+    ann,
+    chat,
+    embedding_dedup,
+    mixing,
+    packing,
+    pii,
+    quality,
+    simhash,
+    token_counts,
+    url_filter,
+)
 from clientele.llm.common import UPPER, table, word_count
 from clientele.sources.scratch import materialise
 
@@ -20,6 +32,23 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+# --- quality ---------------------------------------------------------------
+
+
+@query
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    points = materialise(
+        docs.select("doc_id", quality.text_statistics(F.col("text")).alias("statistics"))
+    )
+    model = quality.fit(points, table(spark, folder, "labels"))
+    return points.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        quality.score(F.col("statistics"), model).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 # --- chat formatting -------------------------------------------------------
 
 PROBE = "\\### Assistant: </turn> ok"
@@ -86,6 +115,49 @@ def op3_embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.embedding_duplicates(table(spark, folder, "embeddings"))
 
 
+# --- packing ---------------------------------------------------------------
+
+
+@query
+def op4_cost_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+# --- personal data ---------------------------------------------------------
+
+
+@query
+def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and digest of what the rules find, and all spans."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", pii.personal_data(F.col("text"), pii.train_on(docs)).alias("all"))
+    written = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+    base = F.filter("all", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *[
+            F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")  # noqa: B023
+            for kind in pii.KINDS
+        ],
+        F.sha2(written(base).cast("binary"), 256).alias("base_sha256"),
+        written("all").alias("spans"),
+    )
+
+
+# --- token counts ----------------------------------------------------------
+
+
+@query
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select("doc_id", "n_tokens")
+
+
 # --- URL filters -----------------------------------------------------------
 
 URL_RULES = (
@@ -141,6 +213,14 @@ def op8_simhash_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+# --- nearest neighbours ----------------------------------------------------
+
+
+@query
+def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 # --- mixing ----------------------------------------------------------------
 
 
