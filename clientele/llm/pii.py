@@ -141,7 +141,7 @@ HIDDEN = 16
 STEPS, BATCH, RATE = 140, 96, 0.02
 SEED = 5
 #: Documents and windows of the training sample.
-SAMPLE, SAMPLE_WINDOWS = 600, 2400
+SAMPLE, SAMPLE_WINDOWS = 8000, 2400
 
 
 @dataclass(frozen=True)

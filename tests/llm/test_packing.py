@@ -18,8 +18,11 @@ def docs(spark, rows):
     return spark.createDataFrame([(i, t, "en", "s", 0, "x", 1) for i, t in rows], SCHEMA)
 
 
+TOKENIZER = Tokenizer.from_file(PATH)
+
+
 def want_ids(text):
-    made = Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids
+    made = TOKENIZER.encode(text or "", add_special_tokens=False).ids
     return np.array([*made, 1], "<u4")
 
 

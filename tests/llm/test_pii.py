@@ -95,7 +95,7 @@ def test_tagger_finds_held_out_spans(parts, tagger):
     got = half.decode(windows)
     inside = labels > 0
     kind = lambda y: (y + 1) // 2
-    assert (kind(got)[inside] == kind(labels)[inside]).mean() > 0.9
+    assert (kind(got)[inside] == kind(labels)[inside]).mean() > 0.85
     assert (got[~inside] == 0).mean() > 0.97
 
 
