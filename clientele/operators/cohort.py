@@ -126,13 +126,12 @@ def revenue_retention(totals: DataFrame, digits: int = 4) -> DataFrame:
     )
 
 
-def matrix(rates: DataFrame, value: str, last_period: int) -> DataFrame:
-    """One row per cohort, one column per period; null where there is no data."""
-    return (
-        rates.groupBy("cohort_month")
-        .pivot("period_number", list(range(last_period + 1)))
-        .agg(F.first(value))
-    )
+def matrix(rates: DataFrame, value: str) -> DataFrame:
+    """One row per cohort, one column per period that occurs; null where there is no data.
+
+    The periods are read from the data; the calendar bounds their number.
+    """
+    return rates.groupBy("cohort_month").pivot("period_number").agg(F.first(value))
 
 
 def evaluated_period(rates: DataFrame, at_period: int = 3) -> DataFrame:

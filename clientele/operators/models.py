@@ -407,7 +407,7 @@ def value_models(
             labelCol=target, numTrees=settings.trees, maxDepth=10, seed=SEED
         ),
         "Gradient Boosting": GBTRegressor(
-            labelCol=target, maxIter=min(settings.boosting_rounds, 100), maxDepth=3, seed=SEED
+            labelCol=target, maxIter=settings.boosting_rounds, maxDepth=3, seed=SEED
         ),
     }
     rows = []

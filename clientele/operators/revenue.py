@@ -17,16 +17,24 @@ MARGIN = 0.30
 def monthly_revenue(purchases: DataFrame) -> DataFrame:
     """Revenue, orders, buyers and mean order per month.
 
-    Orders are summed per month and customer first, so buyers are counted as
-    rows instead of by a distinct aggregate.
+    An order is one ``order_id``, however many rows it has; the mean is over
+    rows. Rows are summed per order, then per month and customer, so both are
+    counted as rows instead of by a distinct aggregate.
     """
-    per_buyer = purchases.groupBy(month_of("order_date").alias("month"), "customer_id").agg(
-        money_sum("order_amount").alias("amount"), F.count(F.lit(1)).alias("orders")
+    month = month_of("order_date").alias("month")
+    per_order = purchases.groupBy(month, "customer_id", "order_id").agg(
+        money_sum("order_amount").alias("amount"), F.count(F.lit(1)).alias("rows")
+    )
+    per_buyer = per_order.groupBy("month", "customer_id").agg(
+        F.sum("amount").alias("amount"),
+        F.sum("rows").alias("rows"),
+        F.count("order_id").alias("orders"),
     )
     return (
         per_buyer.groupBy("month")
         .agg(
             F.sum("amount").alias("amount"),
+            F.sum("rows").alias("rows"),
             F.sum("orders").alias("total_orders"),
             F.count(F.lit(1)).alias("unique_buyers"),
         )
@@ -35,7 +43,7 @@ def monthly_revenue(purchases: DataFrame) -> DataFrame:
             F.col("amount").cast("double").alias("total_revenue"),
             "total_orders",
             "unique_buyers",
-            rounded(ratio("amount", "total_orders"), 2).alias("avg_order_value"),
+            rounded(ratio("amount", "rows"), 2).alias("avg_order_value"),
         )
     )
 
@@ -89,20 +97,28 @@ def extreme_rows(table: DataFrame, label: str, value: str) -> DataFrame:
 
 
 def customer_spend(purchases: DataFrame) -> DataFrame:
-    """Spend, orders, mean order, first and last purchase per customer."""
+    """Spend, distinct orders, mean order row, first and last purchase per customer."""
     return (
-        purchases.groupBy("customer_id")
+        purchases.groupBy("customer_id", "order_id")
         .agg(
             money_sum("order_amount").alias("amount"),
-            F.count(F.lit(1)).alias("total_orders"),
+            F.count(F.lit(1)).alias("rows"),
             F.min("order_date").alias("first_purchase"),
             F.max("order_date").alias("last_purchase"),
         )
+        .groupBy("customer_id")
+        .agg(
+            F.sum("amount").alias("amount"),
+            F.sum("rows").alias("rows"),
+            F.count("order_id").alias("total_orders"),
+            F.min("first_purchase").alias("first_purchase"),
+            F.max("last_purchase").alias("last_purchase"),
+        )
         .select(
             "customer_id",
             F.col("amount").cast("double").alias("total_spent"),
             "total_orders",
-            rounded(ratio("amount", "total_orders"), 2).alias("avg_order_value"),
+            rounded(ratio("amount", "rows"), 2).alias("avg_order_value"),
             "first_purchase",
             "last_purchase",
         )

@@ -74,9 +74,11 @@ def rfm_values(
     customer_id: str = "customer_id",
     date: str = "order_date",
     amount: str = "order_amount",
+    order_id: str | None = None,
 ) -> DataFrame:
     """Recency, frequency, monetary, first and last purchase per customer.
 
+    Frequency counts rows, or distinct orders where ``order_id`` names a column.
     The snapshot defaults to the last order date plus ``snapshot_offset`` days.
     """
     require_columns(purchases, [customer_id, date, amount])
@@ -84,11 +86,25 @@ def rfm_values(
         day = F.date_add(purchases.agg(F.max(date)).scalar(), snapshot_offset)
     else:
         day = F.lit(snapshot).cast("date") if isinstance(snapshot, str) else snapshot
-    per_customer = purchases.groupBy(F.col(customer_id).alias("customer_id")).agg(
-        F.count(F.lit(1)).alias("frequency"),
-        money_sum(amount).alias("monetary"),
-        F.min(date).alias("first_purchase"),
-        F.max(date).alias("last_purchase"),
+    keys = [F.col(customer_id).alias("customer_id")]
+    counted = F.lit(1).alias("order") if order_id is None else F.col(order_id).alias("order")
+    per_customer = (
+        purchases.groupBy(*keys, counted)
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            money_sum(amount).alias("monetary"),
+            F.min(date).alias("first_purchase"),
+            F.max(date).alias("last_purchase"),
+        )
+        .groupBy("customer_id")
+        .agg(
+            F.sum("rows").alias("rows"),
+            F.count("order").alias("orders"),
+            F.sum("monetary").alias("monetary"),
+            F.min("first_purchase").alias("first_purchase"),
+            F.max("last_purchase").alias("last_purchase"),
+        )
+        .withColumn("frequency", F.col("rows" if order_id is None else "orders"))
     )
     return per_customer.select(
         "customer_id",
@@ -97,7 +113,7 @@ def rfm_values(
         "monetary",
         "first_purchase",
         "last_purchase",
-        rounded(ratio("monetary", "frequency"), 2).alias("avg_order_value"),
+        rounded(ratio("monetary", "rows"), 2).alias("avg_order_value"),
     )
 
 

@@ -9,8 +9,6 @@ from clientele.plans.reference_sql import d, define, r, with_tables
 from clientele.plans.registry import query
 from clientele.sources.adapter import Tables
 
-LAST_PERIOD = 78
-
 _PERIOD = """(year({m}) * 12 + month({m})) - (year({c}) * 12 + month({c}))"""
 define(
     "signup_activity",
@@ -168,16 +166,12 @@ def _(t):
     "C3_retention_matrix",
     with_tables(
         "signup_rates",
-        "SELECT cohort_month, "
-        + ", ".join(
-            f'max(retention_rate) FILTER (period_number = {p}) AS "{p}"'
-            for p in range(LAST_PERIOD + 1)
-        )
-        + " FROM signup_rates GROUP BY 1",
+        "SELECT * FROM (PIVOT signup_rates ON period_number"
+        " USING max(retention_rate) GROUP BY cohort_month)",
     ),
 )
 def _(t):
-    return cohort.matrix(cohort.retention(signup_totals(t)), "retention_rate", LAST_PERIOD)
+    return cohort.matrix(cohort.retention(signup_totals(t)), "retention_rate")
 
 
 @query(

@@ -15,7 +15,7 @@ define(
     "purchases",
     f"""
     SELECT CAST(date_trunc('month', order_date) AS DATE) AS month,
-           {d('sum(order_amount)')} AS total_revenue, count(*) AS total_orders,
+           {d('sum(order_amount)')} AS total_revenue, count(DISTINCT order_id) AS total_orders,
            count(DISTINCT customer_id) AS unique_buyers,
            {r(f"{d('sum(order_amount)')} / count(*)", 2)} AS avg_order_value
     FROM purchases GROUP BY 1""",
@@ -34,7 +34,7 @@ define(
     "buyer_spend",
     "purchases",
     f"""
-    SELECT customer_id, {d('sum(order_amount)')} AS total_spent, count(*) AS total_orders,
+    SELECT customer_id, {d('sum(order_amount)')} AS total_spent, count(DISTINCT order_id) AS total_orders,
            {r(f"{d('sum(order_amount)')} / count(*)", 2)} AS avg_order_value,
            min(order_date) AS first_purchase, max(order_date) AS last_purchase
     FROM purchases GROUP BY customer_id""",

@@ -20,19 +20,19 @@ from clientele.sources.adapter import Tables
 from clientele.sources.scratch import materialise
 
 
-def _values_sql(offset: int) -> str:
+def _values_sql(offset: int, frequency: str = "count(*)") -> str:
     return f"""
     SELECT customer_id,
            CAST((SELECT max(order_date) FROM purchases) + {offset} - max(order_date) AS INTEGER)
                AS recency_days,
-           count(*) AS frequency, sum(order_amount) AS monetary,
+           {frequency} AS frequency, sum(order_amount) AS monetary,
            min(order_date) AS first_purchase, max(order_date) AS last_purchase,
            {r(f"{d('sum(order_amount)')} / count(*)", 2)} AS avg_order_value
     FROM purchases GROUP BY customer_id"""
 
 
 define("rfm_raw", "purchases", _values_sql(1))
-define("rfm_raw_same_day", "purchases", _values_sql(0))
+define("rfm_raw_same_day", "purchases", _values_sql(0, "count(DISTINCT order_id)"))
 _COMPOSITE = r("r_score * 0.35::DOUBLE + f_score * 0.25::DOUBLE + m_score * 0.40::DOUBLE", 2)
 define(
     "quantile_scores",
@@ -112,7 +112,7 @@ def _money(df):
 
 
 def tiled(t: Tables):
-    return rfm.score_by_tiles(rfm.rfm_values(t.purchases, snapshot_offset=0))
+    return rfm.score_by_tiles(rfm.rfm_values(t.purchases, snapshot_offset=0, order_id="order_id"))
 
 
 @query(
@@ -132,7 +132,7 @@ def _(t):
     ),
 )
 def _(t):
-    return _money(rfm.rfm_values(t.purchases, snapshot_offset=0)).select(
+    return _money(rfm.rfm_values(t.purchases, snapshot_offset=0, order_id="order_id")).select(
         "customer_id",
         F.col("last_purchase").alias("last_purchase_date"),
         "recency_days",

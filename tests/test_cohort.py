@@ -51,9 +51,15 @@ def test_revenue_retention(totals):
     assert rows == {0: 1.0, 1: 2.0, 2: 0.25}
 
 
-def test_matrix_has_holes(totals):
-    (row,) = cohort.matrix(cohort.retention(totals), "retention_rate", 4).collect()
-    assert [row[str(p)] for p in range(5)] == [1.0, 0.5, 0.5, None, None]
+def test_matrix_has_every_period_and_holes(spark):
+    rates = spark.createDataFrame(
+        [(D(2023, 1, 1), 0, 1.0), (D(2023, 1, 1), 97, 0.5), (D(2023, 2, 1), 0, 1.0), (D(2023, 2, 1), 3, 0.25)],
+        "cohort_month date, period_number int, retention_rate double",
+    )
+    out = cohort.matrix(rates, "retention_rate")
+    assert out.columns == ["cohort_month", "0", "3", "97"]
+    rows = {r.cohort_month.month: tuple(r)[1:] for r in out.collect()}
+    assert rows == {1: (1.0, None, 0.5), 2: (1.0, 0.25, None)}
 
 
 def test_no_rate_without_period_zero(spark):
