@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import unicodedata
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -34,7 +35,11 @@ QUADRATIC = 1 / CAPACITY
 #: Tokens that a task gathers before it packs.
 BATCH = 1 << 22
 #: Words whose ids a worker remembers, words that are held of a text, words that are encoded at once.
-REMEMBERED, CHUNK, JOINED = 700_000, 1 << 18, 256
+REMEMBERED, CHUNK, JOINED = 350_000, 1 << 18, 256
+
+
+#: Lower-case Latin letters, then ASCII punctuation: the tokenizer cuts such a word between the two.
+PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
 
 
 class WordIds:
@@ -45,17 +50,31 @@ class WordIds:
     token between them, and remembered. Lower-casing A-Z beforehand changes
     nothing, as the tokenizer does so itself, unless that makes a special token
     or a character that composes otherwise; such texts are left as they are.
+
+    Most words are lower-case letters with some punctuation. Their letters need
+    only the merges of the tokenizer, where each word ends in a token that marks
+    its end, and so are learnt without the steps before these.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         special = self.tokenizer.get_added_tokens_decoder()
         self.between, token = min(special.items())
         self.separator = token.content
         self.marks = {t.content[:1].encode() for t in special.values()}
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.ids: dict[bytes, bytes] = {}
 
     def of(self, text: bytes) -> Iterator[bytes]:
@@ -66,7 +85,7 @@ class WordIds:
             rest = words.pop() if len(words) > CHUNK else b""
             if len(self.ids) > REMEMBERED:
                 self.ids = {}
-            self.learn(list({w for w in words if w not in self.ids}))
+            self.learn(set(words).difference(self.ids))
             yield b"".join(map(self.ids.__getitem__, words))
 
     def lowered(self, text: bytes) -> bytes:
@@ -78,7 +97,29 @@ class WordIds:
         )
         return low if same and b"<|" not in text else text
 
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, words: set[bytes]) -> None:
+        letters = {w for w in words if w.isalpha() and w.islower()}
+        cut = {w: m.groups() for w in words - letters if (m := PLAIN.fullmatch(w))}
+        rest = words.difference(letters, cut)
+        letters.update(a for a, _ in cut.values())
+        rest.update(b for _, b in cut.values() if b)
+        self.learn_letters(list(letters.difference(self.ids)))
+        self.learn_any(list(rest.difference(self.ids)))
+        for word, (a, b) in cut.items():
+            if b:
+                self.ids[word] = self.ids[a] + self.ids[b]
+
+    def learn_letters(self, words: list[bytes]) -> None:
+        joined = [b" ".join(words[i : i + JOINED]).decode() for i in range(0, len(words), JOINED)]
+        at = 0
+        for made in self.merges.encode_batch_fast(joined, add_special_tokens=False):
+            ids = np.array(made.ids, "<u4")
+            whole, start = ids.tobytes(), 0
+            for end in (np.flatnonzero(self.ends[ids]) + 1).tolist():
+                self.ids[words[at]] = whole[4 * start : 4 * end]
+                at, start = at + 1, end
+
+    def learn_any(self, words: list[bytes]) -> None:
         plain = [w for w in words if not any(m in w for m in self.marks)]
         texts = [w.decode() for w in plain]
         joined = [
@@ -87,9 +128,8 @@ class WordIds:
         at = 0
         for made in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
             ids = np.array([*made.ids, self.between], "<u4")
-            ends = np.flatnonzero(ids == self.between)
             whole, start = ids.tobytes(), 0
-            for end in ends.tolist():
+            for end in np.flatnonzero(ids == self.between).tolist():
                 self.ids[plain[at]] = whole[4 * start : 4 * end]
                 at, start = at + 1, end + 1
         for word in words:
@@ -125,12 +165,13 @@ def assign(
         start = 0
         while start < lengths[item]:
             need = lengths[item] - start
-            while waiting and -waiting[0][0] >= need:
-                _, spent, s = heapq.heappop(waiting)
-                heapq.heappush(ready, (spent, s))
-            while ready and room[ready[0][1]] < need:
-                spent, s = heapq.heappop(ready)
-                heapq.heappush(waiting, (-room[s], spent, s))
+            if not start:  # the rest of a cut item goes where most room is
+                while waiting and -waiting[0][0] >= need:
+                    _, spent, s = heapq.heappop(waiting)
+                    heapq.heappush(ready, (spent, s))
+                while ready and room[ready[0][1]] < need:
+                    spent, s = heapq.heappop(ready)
+                    heapq.heappush(waiting, (-room[s], spent, s))
             if ready:
                 spent, s = heapq.heappop(ready)
             elif waiting:
