@@ -431,7 +431,7 @@ def reconcile(windows: list[tuple[Span, int]]) -> list[Span]:
     return sorted(kept)
 
 
-def tag(texts: Sequence[str | None], tagger: Tagger, block: int = 4096) -> list[list[Found]]:
+def tag(texts: Sequence[str | None], tagger: Tagger, block: int = 512) -> list[list[Found]]:
     """All spans of each text, by start, then kind."""
     places: list[tuple[int, int]] = []
     decoded: list[list[tuple[Span, int]]] = [[] for _ in texts]
