@@ -18,6 +18,9 @@ from pyspark.sql.types import DoubleType
 # Ship the helpers inside the UDFs: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Degrees of freedom from which the t distribution is taken as normal: they differ by less than 1e-7.
+NORMAL_FROM = 1e7
+
 
 def normal_quantile(p: float) -> float:
     return NormalDist().inv_cdf(p)
@@ -29,7 +32,7 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
     c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
     d = 1.0 / (d if abs(d) > tiny else tiny)
     value = d
-    for m in range(1, 2000):
+    for m in range(1, 20_000):  # the square root of the larger parameter is needed
         for term in (
             m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
             -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
@@ -40,8 +43,8 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
             c = c if abs(c) > tiny else tiny
             value *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return value
+            return value
+    raise ArithmeticError(f"no convergence of the incomplete beta function at {a}, {b}, {x}")
 
 
 def incomplete_beta(a: float, b: float, x: float) -> float:
@@ -63,6 +66,8 @@ def incomplete_beta(a: float, b: float, x: float) -> float:
 
 
 def t_two_sided(t: float, dof: float) -> float:
+    if dof > NORMAL_FROM:
+        return math.erfc(abs(t) / math.sqrt(2.0))
     return incomplete_beta(dof / 2.0, 0.5, dof / (dof + t * t))
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +10,6 @@ from clientele.functions.ordering import Sample, percentiles
 from clientele.sources.scratch import materialise
 
 ENGAGEMENT = ("weekly_visits", "session_time_minutes", "page_views", "app_opens")
-TIERS = ("Bronze", "Silver", "Gold", "Platinum")
 
 
 def joined_base(customers: DataFrame, engagement: DataFrame, promotions: DataFrame) -> DataFrame:
@@ -105,11 +102,17 @@ def fixed_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(F.md5(F.col(key).cast("string")), key).limit(n)
 
 
-def tier_statistics(base: DataFrame, tiers: Sequence[str] = TIERS) -> DataFrame:
-    """Mean, median, extremes and sums of three measures per tier."""
+def tiers_of(base: DataFrame) -> list[str | None]:
+    """The tiers that occur, null as one of them; a handful of names."""
+    return [row[0] for row in base.select("customer_tier").distinct().orderBy("customer_tier").collect()]
+
+
+def tier_statistics(base: DataFrame) -> DataFrame:
+    """Mean, median, extremes and sums of three measures for every tier that occurs."""
+    tiers = tiers_of(base)
     wanted = [(c, tier) for c in ("total_spent", "weekly_visits") for tier in tiers]
     found = percentiles(
-        base, [(Sample(F.col(c), F.col("customer_tier") == tier), [0.5]) for c, tier in wanted]
+        base, [(Sample(F.col(c), F.col("customer_tier").eqNullSafe(tier)), [0.5]) for c, tier in wanted]
     )
     medians = dict(zip(wanted, found))
 
@@ -117,15 +120,14 @@ def tier_statistics(base: DataFrame, tiers: Sequence[str] = TIERS) -> DataFrame:
         ladder = F.when(F.lit(False), F.lit(None).cast("double"))
         for tier in tiers:
             (value,) = medians[column, tier]
-            ladder = ladder.when(F.col("customer_tier") == tier, F.lit(value))
+            ladder = ladder.when(F.col("customer_tier").eqNullSafe(tier), F.lit(value))
         return rounded(ladder, 2).alias(f"{column}_median")
 
     def mean(column: str) -> Column:
         return rounded(F.avg(F.col(column).cast("double")), 2).alias(f"{column}_mean")
 
     return (
-        base.where(F.col("customer_tier").isin(list(tiers)))
-        .groupBy("customer_tier")
+        base.groupBy("customer_tier")
         .agg(
             mean("total_spent"),
             F.max("total_spent").cast("double").alias("total_spent_max"),
@@ -150,15 +152,17 @@ def country_value(customers: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def engagement_by_tier(base: DataFrame, tiers: Sequence[str] = TIERS) -> DataFrame:
-    """Mean engagement per tier, one row per measure and one column per tier."""
-    means = base.groupBy("customer_tier").agg(
-        *[rounded(F.avg(F.col(c).cast("double")), 1).alias(c) for c in ENGAGEMENT]
+def engagement_by_tier(base: DataFrame) -> DataFrame:
+    """Mean engagement per tier, one row per measure and one column per tier that occurs."""
+    means = materialise(
+        base.groupBy("customer_tier").agg(
+            *[rounded(F.avg(F.col(c).cast("double")), 1).alias(c) for c in ENGAGEMENT]
+        )
     )
     return (
         means.unpivot("customer_tier", list(ENGAGEMENT), "metric", "value")
         .groupBy("metric")
-        .pivot("customer_tier", list(tiers))
+        .pivot("customer_tier", tiers_of(means))
         .agg(F.first("value"))
     )
 

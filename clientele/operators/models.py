@@ -18,10 +18,11 @@ from pyspark.ml.feature import (
     StandardScaler,
     StringIndexer,
     VectorAssembler,
+    VectorSlicer,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.numeric import rounded
@@ -72,11 +73,23 @@ class Settings:
     categorical: Sequence[str] = field(default=CATEGORICAL)
 
 
-def encoder(settings: Settings, one_hot: bool = False, scaled: bool = False) -> list:
+def label_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """How many labels each column of few labels has; one aggregate."""
+    if not columns:
+        return {}
+    return df.agg(*[F.size(F.collect_set(c)).alias(c) for c in columns]).first().asDict()
+
+
+def encoder(
+    settings: Settings, one_hot: Mapping[str, int] | None = None, scaled: bool = False
+) -> list:
     """Stages from raw columns to ``features``: alphabetic indices or one-hot columns.
 
-    One-hot encoding leaves out the last label of each column. Scaling is a
-    stage of the pipeline, so every split is scaled by its own training rows.
+    ``one_hot`` has the ``label_counts`` of the rows that the stages are fitted
+    on. The first label of each column has no slot of its own. A label that the
+    fitted rows lack, or a null, is an index of its own after the known ones,
+    and no slot when one-hot. Scaling is a stage of the pipeline, so every split
+    is scaled by its own training rows.
     """
     indices = [f"{c}_index" for c in settings.categorical]
     stages: list = [
@@ -84,13 +97,22 @@ def encoder(settings: Settings, one_hot: bool = False, scaled: bool = False) ->
             inputCols=list(settings.categorical),
             outputCols=indices,
             stringOrderType="alphabetAsc",
-            handleInvalid="keep" if one_hot else "error",
+            handleInvalid="keep",
         )
     ] if settings.categorical else []
     encoded = indices
-    if one_hot and indices:
-        encoded = [f"{c}_code" for c in settings.categorical]
-        stages.append(OneHotEncoder(inputCols=indices, outputCols=encoded, dropLast=True))
+    if one_hot is not None and indices:
+        levels = [f"{c}_levels" for c in settings.categorical]
+        # The slot that dropLast leaves out is that of unknown labels.
+        stages.append(OneHotEncoder(inputCols=indices, outputCols=levels, dropLast=True))
+        several = [c for c in settings.categorical if one_hot[c] > 1]
+        encoded = [f"{c}_code" for c in several]
+        stages += [
+            VectorSlicer(
+                inputCol=f"{c}_levels", outputCol=f"{c}_code", indices=list(range(1, one_hot[c]))
+            )
+            for c in several
+        ]
     raw = "raw_features" if scaled else "features"
     stages.append(VectorAssembler(inputCols=[*settings.measures, *encoded], outputCol=raw))
     if scaled:
@@ -98,7 +120,9 @@ def encoder(settings: Settings, one_hot: bool = False, scaled: bool = False) ->
     return stages
 
 
-def logistic(settings: Settings = Settings(), one_hot: bool = False) -> Pipeline:
+def logistic(
+    settings: Settings = Settings(), one_hot: Mapping[str, int] | None = None
+) -> Pipeline:
     model = LogisticRegression(
         labelCol="label",
         weightCol="weight",
@@ -144,7 +168,10 @@ ESTIMATORS: Mapping[str, Callable[[Settings], Pipeline]] = {
 
 
 def labelled(df: DataFrame, label: str = LABEL) -> DataFrame:
-    """Numeric inputs, a double label and balanced class weights."""
+    """Numeric inputs, a double label and the class weights of the whole table.
+
+    ``fit`` replaces the weights by those of the rows it is given.
+    """
     casts = {
         f.name: F.col(f.name).cast("double")
         for f in df.schema
@@ -154,12 +181,20 @@ def labelled(df: DataFrame, label: str = LABEL) -> DataFrame:
     return with_class_weight(typed, "label")
 
 
+def fit(estimator: Estimator, train: DataFrame) -> PipelineModel:
+    """Fit with classes balanced by the training rows alone."""
+    return estimator.fit(with_class_weight(train, "label"))
+
+
+def _probability() -> Column:
+    return vector_to_array("probability")[1]
+
+
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add the churn probability and its risk segment."""
-    probability = rounded(vector_to_array("probability")[1], 4)
+    """Add the churn probability, rounded for output, and its risk segment."""
     return (
         model.transform(df)
-        .withColumn("churn_prob", probability)
+        .withColumn("churn_prob", rounded(_probability(), 4))
         .withColumn("risk_segment", risk_segment(F.col("churn_prob")))
         .drop("rawPrediction", "probability", "prediction", "features", "raw_features")
     )
@@ -183,7 +218,7 @@ def cross_validate(
     spark = train.sparkSession
     areas, parts = [], []
     for k in range(settings.folds):
-        model = estimator.fit(folded.where(F.col("fold") != k))
+        model = fit(estimator, folded.where(F.col("fold") != k))
         held_out = model.transform(folded.where(F.col("fold") == k)).select(
             "fold", "label", "prediction", "rawPrediction"
         )
@@ -218,8 +253,13 @@ def cross_validate(
 def evaluate(
     model: PipelineModel, test: DataFrame, threshold: float = 0.5, digits: int = 4
 ) -> DataFrame:
-    """Exact AUC and the confusion metrics of a model on a test set, one row."""
-    scored = materialise(score(model, test).select("label", "churn_prob"))
+    """Exact AUC and the confusion metrics of a model on a test set, one row.
+
+    Both take the probability as the model gives it, not rounded.
+    """
+    scored = materialise(
+        model.transform(test).select("label", _probability().alias("churn_prob"))
+    )
     area = roc_auc(scored, "churn_prob", "label", digits).select("roc_auc").scalar()
     return confusion_metrics(scored, "churn_prob", "label", threshold, digits).select(
         area.alias("roc_auc"),
@@ -257,7 +297,7 @@ def compare(
         sizes = (train.count(), test.count())
         for name in names:
             estimator = ESTIMATORS[name](settings)
-            model = models[name, split] = estimator.fit(train)
+            model = models[name, split] = fit(estimator, train)
             row = evaluate(model, test).select(
                 F.lit(name).alias("model"),
                 F.lit(split).alias("split"),

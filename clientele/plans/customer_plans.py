@@ -514,7 +514,7 @@ def _(t):
             f"SELECT '{c}' AS metric, "
             + ", ".join(
                 r(f"avg({d(c)}) FILTER (customer_tier = '{tier}')", 1) + f' AS "{tier}"'
-                for tier in customer360.TIERS
+                for tier in ("Bronze", "Silver", "Gold", "Platinum")
             )
             + " FROM base"
             for c in customer360.ENGAGEMENT

@@ -199,7 +199,7 @@ def _(t):
 @query("M6_one_hot_regression")
 def _(t):
     table = training.training_table(joined(t))
-    model = models.logistic(BRISK, one_hot=True).fit(table)
+    model = models.fit(models.logistic(BRISK, models.label_counts(table, BRISK.categorical)), table)
     return models.coefficients(model, table).orderBy(F.desc("coefficient"))
 
 
@@ -382,7 +382,7 @@ def _(t):
 
 def _fit_and_evaluate(t: Tables, name: str, settings: models.Settings) -> DataFrame:
     train, test = training.standard_split(table(t))
-    model = models.ESTIMATORS[name](settings).fit(train)
+    model = models.fit(models.ESTIMATORS[name](settings), train)
     return models.evaluate(model, test)
 
 

@@ -57,7 +57,7 @@ _CTES: dict[str, tuple[str, str]] = {
                coalesce(s.total_orders, 0) AS total_orders,
                s.last_order_date
         FROM customer c
-        JOIN nation n ON n.n_nationkey = c.c_nationkey
+        LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
         LEFT JOIN spend s ON s.customer_id = c.c_custkey""",
     ),
     "gaps": (

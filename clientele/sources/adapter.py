@@ -191,27 +191,25 @@ def behaviour_from_slots(
     )
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 class Tables:
     """The logical tables of one data folder, each built on first use.
 
-    A file's schema is read once per process; later readers name it, which
+    A file's schema is read once per object; later readers name it, which
     spares them the job that looks into the footers.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._schemas: dict[str, StructType] = {}
 
     def raw(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
         reader = self.spark.read
-        if path in _SCHEMAS:
-            return reader.schema(_SCHEMAS[path]).parquet(path)
+        if path in self._schemas:
+            return reader.schema(self._schemas[path]).parquet(path)
         df = reader.parquet(path)
-        _SCHEMAS[path] = df.schema
+        self._schemas[path] = df.schema
         return df
 
     @cached_property
@@ -256,7 +254,10 @@ class Tables:
 
     @cached_property
     def demographics(self) -> DataFrame:
-        """Customer attributes that need no purchase; the nation table has a fixed 25 rows."""
+        """Customer attributes that need no purchase; the nation table has a fixed 25 rows.
+
+        A customer of no known nation has a null country.
+        """
         key = F.col("c_custkey")
         tier = first_match(
             [(F.col("c_acctbal") < limit, name) for name, limit in TIER_BALANCES], TOP_TIER
@@ -270,7 +271,7 @@ class Tables:
         )
         return (
             self.raw("customer")
-            .join(F.broadcast(nations), "c_nationkey")
+            .join(F.broadcast(nations), "c_nationkey", "left")
             .select(
                 key.alias("customer_id"),
                 F.col("c_name").alias("name"),

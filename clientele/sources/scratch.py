@@ -12,12 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    A session that names none (a laptop, a test) gets a temporary one.
+    A local session that names none (a laptop, a test) gets a temporary one; on
+    a cluster, where such a folder is not shared, a name is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return folder if folder is not None else _temporary_folder()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = _temporary_folder()
+    return folder
 
 
 @cache

@@ -3,9 +3,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from clientele.operators import descriptive, features, models, scoring
+from clientele.functions import stats
+from clientele.operators import customer360, descriptive, features, models, scoring
 from clientele.sources.schemas import CHURN_FEATURES
 
 
@@ -212,3 +214,56 @@ def test_shuffled_donors_are_a_permutation(training):
     rows = models._shuffled_donors(training, ["a"]).collect()
     assert sorted(r.a for r in rows) == sorted(r._donor.a for r in rows)
     assert any(r.a != r._donor.a for r in rows)
+
+
+def test_weights_come_from_the_training_rows(spark):
+    seen = []
+
+    class Recorder:
+        def fit(self, train):
+            seen.append({r.label: r.weight for r in train.select("label", "weight").collect()})
+
+    rows = [(i, float(i), i < 5) for i in range(10)]
+    table = models.labelled(spark.createDataFrame(rows, "customer_id long, a double, churned boolean"))
+    models.fit(Recorder(), table.where("customer_id < 6"))
+    assert seen == [{1.0: 6 / 10, 0.0: 6 / 2}]
+
+
+def test_one_hot_drops_one_level_and_takes_unseen_labels(spark, training):
+    counts = models.label_counts(training, SETTINGS.categorical)
+    model = models.fit(models.logistic(SETTINGS, counts), training)
+    names = models.feature_names(model, training)
+    assert len(names) == 3 + 2 and not any(n.endswith("_x") for n in names)
+    other = training.limit(2).withColumn("tier", F.when(F.col("customer_id") == 0, "new"))
+    for fitted in (model, models.fit(models.forest(SETTINGS), training)):
+        assert models.score(fitted, other).where("churn_prob IS NOT NULL").count() == 2
+
+
+def test_metrics_take_unrounded_probabilities(spark):
+    class Close:
+        def transform(self, df):
+            likely = F.when(F.col("label") == 1, 0.500002).otherwise(0.500001)
+            return df.withColumn("probability", array_to_vector(F.array(1 - likely, likely)))
+
+    rows = spark.createDataFrame([(float(i % 2),) for i in range(8)], "label double")
+    assert models.evaluate(Close(), rows).first().roc_auc == 1.0
+
+
+def test_tiers_come_from_the_data(spark):
+    base = spark.createDataFrame(
+        [("Odd", 1.0, 2, 3.0, 4, 5, 1), ("Gold", 2.0, 4, 3.0, 4, 5, 1), (None, 3.0, 1, 3.0, 4, 5, 1)],
+        "customer_tier string, total_spent double, weekly_visits int, session_time_minutes double,"
+        " page_views int, app_opens int, num_promotions_responded int",
+    )
+    medians = {r.customer_tier: r.total_spent_median for r in customer360.tier_statistics(base).collect()}
+    assert medians == {"Odd": 1.0, "Gold": 2.0, None: 3.0}
+    row = customer360.engagement_by_tier(base).where("metric = 'weekly_visits'").first()
+    assert (row["Odd"], row["Gold"], row["null"]) == (2.0, 4.0, 1.0)
+    empty = base.where("false")
+    assert customer360.tier_statistics(empty).count() == 0
+    assert customer360.engagement_by_tier(empty).count() == 0
+
+
+def test_tails_of_many_degrees_of_freedom():
+    for dof in (1e6, 9.9e6, 1.1e7, 1e12):
+        assert stats.t_two_sided(1.96, dof) == pytest.approx(math.erfc(1.96 / math.sqrt(2)), abs=1e-6)
