@@ -11,12 +11,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clientele.llm import mixing, packing, pii, quality, simhash
+from clientele.llm import mixing, packing, pii, quality, resemblance
 from clientele.llm.common import table
 from clientele.sources.scratch import scratch_path
 
-#: Words of a shingle in the pipeline.
-SHINGLE = 5
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -26,8 +24,11 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the smallest id of each group of near-duplicates."""
-    return simhash.one_of_each(docs, SHINGLE)
+    """Keep the document of the smallest id of each group of near-duplicates.
+
+    SimHash with pivots on candidates, then similarities of 0.8 on five words.
+    """
+    return resemblance.one_of_each(docs)
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

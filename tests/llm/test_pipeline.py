@@ -3,7 +3,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from clientele.llm import mixing, pii, quality, simhash
+from clientele.llm import mixing, pii, quality, resemblance
 from clientele.llm.common import table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -30,13 +30,17 @@ def good(spark, before, after):
 
 
 def one(spark, before, after):
-    prints = {r.doc_id: simhash.fingerprint(r.text.encode(), 5) for r in before}
-    root = {i: i for i in prints}
+    sets = {r.doc_id: set(resemblance.shingle_set(r.text.encode()).tolist()) for r in before}
+    root = {i: i for i in sets}
+    links = [
+        (a, b)
+        for a in sets
+        for b in sets
+        if a < b and (sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    ]
     for _ in range(20):
-        for a in prints:
-            for b in prints:
-                if ((prints[a] ^ prints[b]) & (1 << 64) - 1).bit_count() <= 4:
-                    root[a] = root[b] = min(root[a], root[b])
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
     assert sorted(r.doc_id for r in after) == sorted(set(root.values())) and len(after) < len(before)
 
 
