@@ -40,7 +40,9 @@ REACH = 22
 #: Shingles that are multiplied out at a time.
 STEP = 4096
 #: Pairs that are compared at a time.
-PAIRS = 1 << 19
+PAIRS = 1 << 17
+#: Documents that are sketched at a time.
+ROWS = 256
 
 
 def _factors() -> np.ndarray:
@@ -83,12 +85,18 @@ def identity(hashes: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED) if len(hashes) else 0).view(np.int64))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The columns of ``docs`` but ``text``, and ``node``, ``size``, ``fingerprint``, ``anchors``."""
     kept = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             nodes, sizes, prints, keys = [], [], [], []
             for text in batch.column("text"):
                 hashes = shingle_set(text.as_py(), width)
@@ -191,20 +199,12 @@ def _group_forest(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
 def exact_links(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Those of ``pairs`` (``a``, ``b``) whose sets (``node``, ``hashes``) are as similar as asked."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for one, other in zip(batch.column("one"), batch.column("other")):
-                x = np.frombuffer(one.as_buffer(), np.uint64)
-                y = np.frombuffer(other.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
     first = sets.select(F.col("node").alias("a"), F.col("hashes").alias("one"))
     second = sets.select(F.col("node").alias("b"), F.col("hashes").alias("other"))
-    joined = pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "one", "other")
-    return joined.mapInArrow(run, "a long, b long")
+    both = F.size(F.array_intersect("one", "other"))
+    either = F.size("one") + F.size("other") - both
+    joined = pairs.select("a", "b").join(first, "a").join(second, "b")
+    return joined.where(both >= similarity * either).select("a", "b")
 
 
 def _mark() -> Column:
@@ -215,10 +215,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``node``, ``hashes`` of the documents named in ``wanted`` (``node``, ``best``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes = [shingle_set(t.as_py(), width).tobytes() for t in batch.column("text")]
+        for batch in _pieces(batches):
+            hashes = [shingle_set(t.as_py(), width).view(np.int64) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(hashes, pa.binary())], names=["node", "hashes"]
+                [batch.column("node"), pa.array(hashes, pa.list_(pa.int64()))],
+                names=["node", "hashes"],
             )
 
     named = wanted.select(
@@ -228,7 +229,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         named, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_of"))
     )
     made = texts.select("node", F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, "node long, hashes binary"
+        run, "node long, hashes array<long>"
     )
     return made.dropDuplicates(["node"])
 
