@@ -10,7 +10,9 @@ link left is checked exactly on whole shingle sets.
 Documents of equal shingle sets are one node. A group leaves its task as a
 spanning forest of real pairs, nearest fingerprints first, so a group of many
 copies costs its size in rows. The forest's links are checked in two rounds: the
-nearest of every node first, then those between what is still apart.
+nearest of every node first, then those between what is still apart. A forest
+that left pairs out spans a family with others like it; families that are still
+in several parts have all their pairs checked, each where its two sets are.
 """
 
 from __future__ import annotations
@@ -41,6 +43,9 @@ REACH = 22
 STEP = 4096
 #: Pairs that are compared at a time.
 PAIRS = 1 << 17
+#: Nodes of a block of a family, and shingles that are counted at a time there.
+FAMILY = 250
+COLUMNS = 4096
 #: Documents that are sketched at a time.
 ROWS = 256
 
@@ -151,7 +156,10 @@ def forest(size: int, left: np.ndarray, right: np.ndarray, cost: np.ndarray) ->
 
 
 def candidate_links(nodes: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
-    """``a``, ``b``, ``bits``: forests of near pairs of every anchor of ``nodes``."""
+    """``a``, ``b``, ``bits``: forests of near pairs of every anchor of ``nodes``.
+
+    ``cut`` tells whether a forest with the pair left other pairs out.
+    """
     keys = ["anchor", *BLOCKS]
     rows = nodes.select("node", "size", "fingerprint", F.explode("anchors").alias("anchor"))
     dealt = (
@@ -167,7 +175,8 @@ def candidate_links(nodes: DataFrame, similarity: float = SIMILARITY, block: int
                     if len(links):
                         yield links
 
-    return dealt.mapInPandas(run, "a long, b long, bits int").distinct()
+    found = dealt.mapInPandas(run, "a long, b long, bits int, cut boolean")
+    return found.groupBy("a", "b", "bits").agg(F.max("cut").alias("cut"))
 
 
 def _group_forest(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
@@ -179,7 +188,7 @@ def _group_forest(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
     tables = pivot_table(values)
     n = len(group)
     step = max(1, PAIRS // n)
-    kept = np.zeros((0, 2), np.int64)
+    kept, seen = np.zeros((0, 2), np.int64), 0
     for at in range(0, n, step):
         i, j = np.meshgrid(np.arange(at, min(at + step, n)), np.arange(n), indexing="ij")
         may = j > i
@@ -188,12 +197,66 @@ def _group_forest(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
         may &= np.minimum(sizes[i], sizes[j]) >= similarity * np.maximum(sizes[i], sizes[j])
         left, right = i[may], j[may]
         near = links_within(values, tables, left, right, REACH)
+        seen += int(near.sum())
         pairs = np.concatenate([kept, np.stack([left[near], right[near]], axis=1)])
         bits = np.bitwise_count(values[pairs[:, 0]] ^ values[pairs[:, 1]])
         kept = pairs[forest(n, pairs[:, 0], pairs[:, 1], bits)]
     a, b = names[kept[:, 0]], names[kept[:, 1]]
     bits = np.bitwise_count(values[kept[:, 0]] ^ values[kept[:, 1]]).astype(np.int32)
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "bits": bits})
+    cut = seen > len(kept)
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "bits": bits, "cut": cut})
+
+
+def family_links(members: DataFrame, similarity: float = SIMILARITY, block: int = FAMILY) -> DataFrame:
+    """``a``, ``b``: stars of what links of all pairs join in each ``family`` of ``members``.
+
+    ``members`` has ``family``, ``node`` and ``hashes``.
+    """
+    keys = ["family", *BLOCKS]
+    dealt = blocked(members, ["family"], "node", block).repartition(*keys).sortWithinPartitions(*keys)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in whole_groups(batches, keys):
+            starts = group_starts(frame, keys)
+            for start, stop in zip(starts, np.append(starts[1:], len(frame))):
+                group = frame.iloc[start:stop]
+                across = group["block"].to_numpy() if group["low"].iloc[0] != group["high"].iloc[0] else None
+                names = group["node"].to_numpy(np.int64)
+                left, right = similar_pairs(list(group["hashes"]), similarity, across)
+                root = local_roots(len(names), left, right)
+                hung = np.flatnonzero(root != np.arange(len(names)))
+                if len(hung):
+                    yield pd.DataFrame({"a": names[root[hung]], "b": names[hung]})
+
+    return dealt.mapInPandas(run, "a long, b long")
+
+
+def similar_pairs(
+    sets: list[np.ndarray], similarity: float, block: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of all pairs of ``sets`` that are as similar as asked; of different blocks where given."""
+    n, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
+    owner = np.repeat(np.arange(n), sizes)
+    hashes = np.concatenate(sets) if n else np.zeros(0, np.int64)
+    order = np.argsort(hashes, kind="stable")
+    owner, hashes = owner[order], hashes[order]
+    new = np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)]
+    count = np.diff(np.append(np.flatnonzero(new), len(hashes)))
+    several = np.repeat(count > 1, count)  # a shingle of one set is in no intersection
+    owner = owner[several]
+    column = np.cumsum(new[several]) - 1
+    both = np.zeros((n, n), np.float32)
+    width = int(column[-1]) + 1 if len(column) else 0
+    for at in range(0, width, COLUMNS):
+        a, b = np.searchsorted(column, [at, at + COLUMNS])
+        has = np.zeros((n, COLUMNS), np.float32)
+        has[owner[a:b], column[a:b] - at] = 1
+        both += has @ has.T
+    either = sizes[:, None] + sizes[None] - both.astype(np.float64)
+    link = np.triu(both >= similarity * either, 1)
+    if block is not None:
+        link &= block[:, None] != block[None]
+    return np.nonzero(link)
 
 
 def exact_links(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -266,11 +329,25 @@ def resembling(
     )
     links = materialise(first.union(exact_links(apart, sets, similarity)))
     parts = connected_components(links)
+    members = _open_families(pairs, parts)
+    more = materialise(family_links(members.join(sets, "node"), similarity, min(block, FAMILY)))
+    if not more.isEmpty():
+        parts = connected_components(links.union(more))
     return nodes.select("node", "best").join(parts, "node", "left").select(
         "node", "best", F.coalesce("component", "node").alias("component")
     )
 
 
+def _open_families(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """``node``, ``family`` of families in several parts: nodes that forests with pairs left out connect."""
+    families = connected_components(pairs.where("cut").select("a", "b")).withColumnRenamed("component", "family")
+    placed = materialise(
+        families.join(parts, "node", "left").select("node", "family", F.coalesce("component", "node").alias("part"))
+    )
+    several = placed.groupBy("family").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    return placed.join(several.where("low != high").select("family"), "family", "left_semi").select("node", "family")
+
+
 def one_of_each(
     docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, block: int = BLOCK
 ) -> DataFrame:

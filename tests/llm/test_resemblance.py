@@ -76,6 +76,44 @@ def test_large_group_in_blocks(spark, block):
     assert [r.doc_id for r in out] == slow_kept(rows) == [0]
 
 
+def family(rng, name, size, twins):
+    """Texts of a similarity just under the threshold that share a passage; ``twins`` of them have one of 0.82."""
+    shared = [f"{name}s{i}" for i in range(436)]
+    rows = []
+    for i in range(size):
+        own = [f"{name}{i}w{j}" for j in range(60)]
+        rows.append(" ".join(shared + own))
+        if i < twins:
+            rows.append(" ".join(shared + own[:12] + [f"{name}{i}v{j}" for j in range(48)]))
+    order = rng.permutation(len(rows))
+    return [rows[i] for i in order]
+
+
+@pytest.mark.parametrize("block", [15, 2000])
+def test_links_in_families_just_under_the_threshold(spark, block):
+    rng = np.random.default_rng(9)
+    rows = list(enumerate(t for name in "abc" for t in family(rng, name, 50, 12)))
+    want = slow_kept(rows)
+    assert len(want) == 150
+    assert sorted(r.doc_id for r in resemblance.one_of_each(docs(spark, rows), block=block).collect()) == want
+
+
+def test_similar_pairs_against_sets():
+    rng = np.random.default_rng(10)
+    sets = [np.unique(rng.integers(-30, 30, int(rng.integers(0, 60)))) for _ in range(60)]
+    sets += [sets[3], np.arange(9000), np.arange(500, 9500)]
+    block = rng.integers(0, 2, len(sets))
+    for across in (None, block):
+        want = [
+            (i, j)
+            for i in range(len(sets))
+            for j in range(i + 1, len(sets))
+            if len(np.intersect1d(sets[i], sets[j])) >= 0.6 * len(np.union1d(sets[i], sets[j]))
+            and (across is None or block[i] != block[j])
+        ]
+        assert list(zip(*resemblance.similar_pairs(sets, 0.6, across))) == want
+
+
 def test_forest_spans_with_least_cost():
     rng = np.random.default_rng(7)
     for size in (2, 9, 60):
