@@ -7,6 +7,10 @@ windows' finds are merged and reranked by the exact inner product.
 
 Inner products become distances by one more coordinate: a vector over the
 largest length gets the root of what its square misses to 1, a query gets 0.
+Lengths are cut into bands of powers of two with curves and a largest length of
+their own, so that a few long vectors do not push the others together; a query
+is compared with its windows in every band. A band that its window holds whole
+is laid out once.
 
 A window is a share of all rows because that is what recall costs where vectors
 have no structure: neighbours at a cosine of 0.35 share a curve's tenth hardly
@@ -38,6 +42,8 @@ LEAST = 4096
 ROWS = 20_000
 PARTS = 20
 DIMENSIONS = 6
+#: Bands of length are powers of two up to this exponent.
+EXPONENT = 2000
 BITS = 10
 SEED = 9
 
@@ -110,6 +116,20 @@ def best(
     return found, scores
 
 
+def windows(counts: list[int], need: float) -> tuple[np.ndarray, np.ndarray]:
+    """First and last part of the window around every part, of ``need`` rows besides its own part at least.
+
+    Half of them lie to either side; what one side lacks the other has.
+    """
+    upto = np.append(0, np.cumsum(counts))
+    before, after = upto[:-1], upto[-1] - upto[1:]
+    left = np.minimum(before, np.maximum(need / 2, need - after))
+    right = np.minimum(after, np.maximum(need / 2, need - before))
+    first = np.searchsorted(upto, before - left, "right") - 1
+    last = np.searchsorted(upto, upto[1:] + right, "left") - 1
+    return first, last
+
+
 def nearest(
     vectors: DataFrame,
     asks: Column,
@@ -134,49 +154,71 @@ def nearest(
         .agg(F.min("embedding").alias("embedding"))
     )
     square = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    size, longest = base.agg(F.count(F.lit(1)), F.sqrt(F.max(square))).first()
-    longest = longest or 1.0
+    power = F.coalesce(F.floor(F.log2("length")), F.lit(-EXPONENT))
+    base = base.withColumns({"dimension": F.size("embedding"), "length": F.sqrt(square)}).withColumn(
+        "band", F.least(F.greatest(power, F.lit(-EXPONENT)), F.lit(EXPONENT)).cast("int")
+    )
     copy = F.row_number().over(W.partitionBy("embedding").orderBy("vec_id"))
     pool = base.withColumn("copy", copy).where(F.col("copy") <= k + 1).drop("copy")
-    asked = base.where(asks)
+    asked = base.where(asks).select("vec_id", "embedding")
     # equal queries are asked once
-    unlike = asked.groupBy("embedding").agg(F.min("vec_id").alias("vec_id")).select("vec_id", "embedding")
+    unlike = base.where(asks).groupBy("dimension", "band", "embedding").agg(F.min("vec_id").alias("vec_id"))
     kind = base.schema["embedding"].dataType.simpleString()
+    # one row per dimension and band
+    sizes = pool.groupBy("dimension", "band").agg(F.count(F.lit(1)), F.max("length")).collect()
+    longest = {(d, band): top or 1.0 for d, band, _, top in sizes}
+    need = {(d, band): max(window * n, min(least, n)) for d, band, n, _ in sizes}
+    curves_of = {(d, band): curves if need[d, band] < n else 1 for d, band, n, _ in sizes}
+    size = sum(n for _, _, n, _ in sizes)
+
+    def lengthened(frame: pd.DataFrame, of: tuple[int, int], ask: bool) -> np.ndarray:
+        return lifted(np.stack(frame["embedding"].to_numpy()).astype(np.float64), longest.get(of, 1.0), ask)
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for (ask, d), frame in batch.groupby([batch["ask"], batch["embedding"].map(len)]):
-                points = lifted(np.stack(frame["embedding"].to_numpy()).astype(np.float64), longest, ask)
-                for number in range(curves):
-                    yield frame.assign(curve=number, key=keys(points, number), dimension=d)
-
-    order = ["dimension", "curve", "key", "vec_id"]
-    parts = curves * max(PARTS, math.ceil(size / ROWS))
-    ranged = (
-        pool.withColumn("ask", F.lit(False))
-        .unionByName(unlike.withColumn("ask", F.lit(True)))
-        .mapInPandas(placed, f"vec_id long, embedding {kind}, ask boolean, curve int, key long, dimension int")
-        .repartitionByRange(parts, *order)
+            for of, frame in batch.groupby(["dimension", "band"]):
+                points = lengthened(frame, of, False)
+                for number in range(curves_of[of]):
+                    yield frame.assign(curve=number, key=keys(points, number))
+
+    place = ["dimension", "band", "curve", "part"]
+    there = materialise(
+        pool.select("vec_id", "embedding", "dimension", "band")
+        .mapInPandas(placed, f"vec_id long, embedding {kind}, dimension int, band int, curve int, key long")
+        .repartitionByRange(curves * max(PARTS, math.ceil(size / ROWS)), "dimension", "band", "curve", "key", "vec_id")
+        .withColumn("part", F.spark_partition_id())
     )
-    parts = ranged.rdd.getNumPartitions() if size else 1
-    laid = materialise(ranged.withColumn("part", F.spark_partition_id()))
-    of_curve = parts / curves
-    share = max(window, least / max(1, size))
-    half = min(parts, math.ceil(share * of_curve / 2))
-    place = ["dimension", "curve", "part"]
-    there = laid.where(~F.col("ask")).select(*place, "vec_id", "embedding")
-    sought = laid.where("ask").select(
-        "dimension",
-        "curve",
-        F.explode(
-            F.sequence(
-                F.greatest(F.col("part") - half, F.lit(0)),
-                F.least(F.col("part") + half, F.lit(parts - 1)),
-            )
-        ).alias("part"),
-        F.col("vec_id").alias("query"),
-        "embedding",
+    # one row per part of a curve
+    laid = there.groupBy(*place).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("low")).orderBy(*place).collect()
+    lines: dict[tuple[int, int], dict[tuple[int, int], list[tuple[int, int, int]]]] = {}
+    for d, band, number, part, n, low in laid:
+        lines.setdefault((d, number), {}).setdefault((d, band), []).append((part, n, low))
+    ranges = {
+        at: [
+            (of, np.array([low for _, _, low in parts]), windows([n for _, n, _ in parts], need[of]), np.array([p for p, _, _ in parts]))
+            for of, parts in bands.items()
+        ]
+        for at, bands in lines.items()
+    }
+
+    def asking(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for of, frame in batch.groupby(["dimension", "band"]):
+                points = lengthened(frame, of, True)
+                for number in range(curves):
+                    own = keys(points, number)
+                    for (_, band), lows, (first, last), parts in ranges.get((of[0], number), []):
+                        at = (np.searchsorted(lows, own, "right") - 1).clip(0)
+                        yield frame.assign(band=band, curve=number, start=parts[first[at]], stop=parts[last[at]])
+
+    sought = (
+        unlike.mapInPandas(
+            asking, f"dimension int, band int, curve int, start int, stop int, vec_id long, embedding {kind}"
+        )
+        .withColumn("part", F.explode(F.sequence("start", "stop")))
+        .select(*place, F.col("vec_id").alias("query"), "embedding")
     )
+    there = there.select(*place, "vec_id", "embedding")
 
     def compare(pool: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if pool.empty or asked.empty:

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +63,27 @@ def test_recall_of_windows_on_random_vectors(spark):
     assert 0.9 <= hits / (20 * len(true)) < 1
 
 
+@pytest.mark.parametrize("lengths", ["one", "spread"])
+def test_recall_with_unequal_lengths(spark, lengths):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(22_000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if lengths == "one":
+        x[17] *= 30
+    else:
+        x *= np.exp2(rng.integers(-3, 1, len(x)) + rng.uniform(size=len(x)))[:, None]
+        x[17] *= 1000
+    x = np.float32(x)
+    vectors = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": x.tolist()}), "vec_id long, embedding array<float>")
+    found = ann.nearest(vectors, F.col("vec_id") % 100 == 0).collect()
+    asked = np.arange(0, len(x), 100)
+    products = np.float64(x[asked]) @ np.float64(x).T
+    products[np.arange(len(asked)), asked] = -np.inf
+    true = {q: set(np.argsort(-row)[:20]) for q, row in zip(asked, products)}
+    assert len(found) == 20 * len(asked)
+    assert sum(r.vec_id in true[r.query_id] for r in found) >= 0.9 * len(found)
+
+
 def test_scores_are_inner_products(spark):
     rng = np.random.default_rng(3)
     x = np.float32(rng.normal(size=(50, 5)))
