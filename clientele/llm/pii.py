@@ -76,6 +76,7 @@ def base_spans(text: str) -> list[Span]:
 # --- the forms a span of the tagger must have --------------------------------
 
 _AT, _DOT = r"\s?(?:@|\(at\)|\[at\])\s?", r"\s?(?:\.|\(dot\)|\[dot\])\s?"
+_AT_FIRST, _WORD = re.compile(_AT), re.compile(r"[\w-]*", re.ASCII)
 _FORMS = (
     re.compile(rf"[\w.%+-]+{_AT}[\w-]+(?:{_DOT}[\w-]+)+", re.ASCII),
     re.compile(r"\d{1,3}(?:(?:\.|\[\.\])\d{1,3}){3}", re.ASCII),
@@ -100,6 +101,8 @@ LENGTH, STRIDE = 48, 24
 #: Characters around a digit or at sign that are decoded.
 MARGIN = 12
 SEEDS = re.compile(r"[0-9@]|[(\[]at[)\]]")
+#: What may follow the at of an e-mail.
+_REST = re.compile(rf"\s?[\w-]+(?:{_DOT}[\w-]+)*", re.ASCII)
 
 _CLASSES = "\0@.+-()[]%_:=\"' \n,;/"
 CLASS = {c: i for i, c in enumerate(_CLASSES)}
@@ -116,15 +119,30 @@ def classes(text: str) -> np.ndarray:
     return np.where(points < 128, _TABLE[np.minimum(points, 127)], WIDE)
 
 
-def regions(text: str) -> list[tuple[int, int]]:
-    """The stretches around seeds, joined where they meet."""
+def local_start(text: str, at: int) -> int:
+    """Where the run of local-part characters that ends at ``at`` begins."""
+    while at > 0 and text[at - 1] in LOCAL:
+        at -= 1
+    return at
+
+
+def regions(text: str, whole: bool = True) -> list[tuple[int, int]]:
+    """The stretches around seeds, joined where they meet.
+
+    With ``whole`` a stretch around an at has the whole local part before it and
+    what may be a domain after it.
+    """
     out: list[list[int]] = []
     for m in SEEDS.finditer(text):
-        a, b = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
-        if out and a <= out[-1][1]:
-            out[-1][1] = b
-        else:
-            out.append([a, b])
+        a, b = m.start(), m.end()
+        if whole and not "0" <= text[a] <= "9":
+            rest = _REST.match(text, b)
+            a, b = local_start(text, a - (a > 0 and text[a - 1].isspace())), rest.end() if rest else b
+        a, b = max(0, a - MARGIN), min(len(text), b + MARGIN)
+        while out and a <= out[-1][1]:
+            start, stop = out.pop()
+            a, b = min(a, start), max(b, stop)
+        out.append([a, b])
     return [(a, b) for a, b in out]
 
 
@@ -353,7 +371,7 @@ def examples(parts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def stretches(text: str) -> list[str]:
-    return [text[max(0, a - STRIDE) : b + STRIDE] for a, b in regions(text) if b - a <= 4 * LENGTH]
+    return [text[max(0, a - STRIDE) : b + STRIDE] for a, b in regions(text, whole=False) if b - a <= 4 * LENGTH]
 
 
 def sample_stretches(docs: DataFrame, documents: int = SAMPLE, windows: int = SAMPLE_WINDOWS) -> list[str]:
@@ -458,7 +476,7 @@ def tag(texts: Sequence[str | None], tagger: Tagger, block: int = 512) -> list[l
         base = base_spans(text)
         added = [
             s
-            for s in _by_region(found)
+            for s in _whole_emails(text, _by_region(found))
             if well_formed(s[1], text[s[0] : s[2]]) and not _touches(s, base)
         ]
         spans = [Found(a, k, b, True) for a, k, b in base] + [Found(a, k, b, False) for a, k, b in added]
@@ -480,6 +498,29 @@ def _by_region(found: list[tuple[Span, int]]) -> list[Span]:
     return out + (reconcile(run) if run else [])
 
 
+def _whole_emails(text: str, spans: list[Span]) -> list[Span]:
+    """E-mails that begin or end inside a word, or at their at, taken to its ends if that has their form.
+
+    Of spans that then meet the first stays.
+    """
+    out: list[Span] = []
+    tried = 0  # a run is walked once
+    for a, kind, b in spans:
+        if out and a < out[-1][2]:
+            continue
+        if kind == 0:
+            if a < tried:
+                continue
+            if _AT_FIRST.match(text, a):
+                a -= a > 0 and text[a - 1].isspace()
+            a = max(local_start(text, a), out[-1][2] if out else 0)
+            tried = b = _WORD.match(text, b).end()
+            if not well_formed(kind, text[a:b]):
+                continue
+        out.append((a, kind, b))
+    return out
+
+
 def _touches(span: Span, base: list[Span]) -> bool:
     import bisect
 

@@ -110,6 +110,26 @@ def test_tagger_adds_what_the_rules_miss(tagger):
     assert found >= 3
 
 
+@pytest.mark.parametrize("length", [13, 20, 31, 40, 52, 64])
+def test_disguised_emails_with_long_local_parts_are_exact(tagger, length):
+    local = "christopher.robinson.von.der.lindenhof.zu.eichendorff.am.waldrand"[-length:].lstrip(".")
+    for rest in ("(at)example(dot)com", "[at]mail.example.com"):
+        text = "enoi pour le viervi et " + local + rest + " eauvire onmentan elle"
+        assert not pii.base_spans(text)
+        (spans,) = pii.tag([text], tagger)
+        assert [(text[f.start : f.end], f.kind) for f in spans] == [(local + rest, 0)]
+
+
+def test_regions_hold_whole_local_parts():
+    for n in (5, 60, 5000):
+        text = "x " * 40 + "a" * n + "(at)example(dot)com" + " x" * 40
+        ((start, stop),) = pii.regions(text)
+        assert start == 80 - pii.MARGIN and stop == 80 + n + 19 + pii.MARGIN
+        starts = pii.window_starts(start, stop)
+        assert starts[0] == start and starts[-1] + pii.LENGTH >= stop
+    assert pii.regions("a1" + "b" * 90 + " @ c.d")[0][0] == 0
+
+
 def test_windows_are_reconciled():
     assert pii.reconcile([((10, 3, 24), 0), ((12, 3, 30), 0)]) == [(10, 3, 30)]
     assert pii.reconcile([((10, 2, 20), 1), ((12, 3, 26), 9)]) == [(12, 3, 26)]
