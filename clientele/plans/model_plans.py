@@ -21,9 +21,7 @@ from clientele.sources.sinks import (
 )
 
 TRAIN_YEARS, TEST_YEARS = (1995, 1996), (1997,)
-# The named queries fit smaller ensembles than the defaults of ``Settings``,
-# which are those of a full training run; they see all rows all the same.
-BRISK = models.Settings(trees=50, tree_depth=8, boosting_rounds=20, folds=3)
+FULL = models.Settings()
 
 
 def partly_missing(t: Tables) -> DataFrame:
@@ -199,7 +197,7 @@ def _(t):
 @query("M6_one_hot_regression")
 def _(t):
     table = training.training_table(joined(t))
-    model = models.fit(models.logistic(BRISK, models.label_counts(table, BRISK.categorical)), table)
+    model = models.fit(models.logistic(FULL, models.label_counts(table, FULL.categorical)), table)
     return models.coefficients(model, table).orderBy(F.desc("coefficient"))
 
 
@@ -376,7 +374,7 @@ def table(t: Tables) -> DataFrame:
 @query("M10_standardised_features")
 def _(t):
     rows = table(t)
-    scaler = Pipeline(stages=models.encoder(BRISK, scaled=True)).fit(rows)
+    scaler = Pipeline(stages=models.encoder(FULL, scaled=True)).fit(rows)
     return models.slot_statistics(scaler, rows)
 
 
@@ -398,7 +396,7 @@ def _(t):
 
 @query("M13_gradient_boosting")
 def _(t):
-    return _fit_and_evaluate(t, models.BOOSTED, BRISK)
+    return _fit_and_evaluate(t, models.BOOSTED, FULL)
 
 
 @query("M15_cross_validation")
@@ -408,51 +406,49 @@ def _(t):
     return models.cross_validate(models.logistic(settings), train, settings)
 
 
-def _comparison(t: Tables) -> models.Comparison:
-    rows = table(t)
+def _compared(rows: DataFrame) -> models.Comparison:
     return models.compare(
         {
             "standard": training.standard_split(rows),
             "out of time": training.signup_split(rows, TRAIN_YEARS, TEST_YEARS),
         },
-        BRISK,
-        cross_validation=False,
+        FULL,
     )
 
 
 @query("M19_model_comparison")
 def _(t):
-    return _comparison(t).table.orderBy(F.desc("roc_auc"))
+    return _compared(table(t)).table.orderBy(F.desc("roc_auc"))
 
 
 @query("U2_stacked_evaluations")
 def _(t):
-    return models.auc_drop(_comparison(t).table, "standard", "out of time")
+    return models.auc_drop(_compared(table(t)).table, "standard", "out of time")
 
 
 @query("L6_best_model_per_split")
 def _(t):
-    return models.best_models(_comparison(t).table)
+    return models.best_models(_compared(table(t)).table)
 
 
 @query("M20_feature_importance")
 def _(t):
     rows = table(t)
-    model = models.forest(BRISK).fit(rows)
+    model = models.forest(FULL).fit(rows)
     return models.feature_importance(model, rows).orderBy(F.desc("importance")).limit(10)
 
 
 @query("M20_coefficients")
 def _(t):
     rows = table(t)
-    model = models.logistic(BRISK).fit(rows)
+    model = models.logistic(FULL).fit(rows)
     return models.coefficients(model, rows).orderBy(F.desc("coefficient"))
 
 
 @query("M21_linear_attribution")
 def _(t):
     rows = table(t)
-    return models.linear_attribution(models.logistic(BRISK).fit(rows), rows).orderBy(
+    return models.linear_attribution(models.logistic(FULL).fit(rows), rows).orderBy(
         F.desc("importance")
     )
 
@@ -461,14 +457,14 @@ def _(t):
 def _(t):
     rows = table(t)
     return models.permutation_importance(
-        models.logistic(BRISK).fit(rows), rows, models.MEASURES
+        models.logistic(FULL).fit(rows), rows, models.MEASURES
     ).orderBy(F.desc("auc_loss"))
 
 
 @query("M22_batch_scoring")
 def _(t):
     rows = table(t)
-    return models.score(models.forest(BRISK).fit(rows), rows).select(
+    return models.score(models.forest(FULL).fit(rows), rows).select(
         "customer_id", "churn_prob", "risk_segment"
     )
 
@@ -476,7 +472,7 @@ def _(t):
 @query("M23_value_regression")
 def _(t):
     measures = [m for m in models.MEASURES if m not in ("clv", "total_spent", "spend_per_month")]
-    settings = models.Settings(trees=30, boosting_rounds=20, measures=measures)
+    settings = models.Settings(measures=measures)
     train, test = training.standard_split(table(t))
     return models.value_models(train, test, "clv", settings)
 
@@ -485,7 +481,7 @@ def _(t):
 def _(t):
     rows = table(t)
     path = scratch_path(t.spark, "model")
-    save_model(models.logistic(BRISK).fit(rows), path)
+    save_model(models.logistic(FULL).fit(rows), path)
     return models.score(load_model(path), rows).select("customer_id", "churn_prob", "risk_segment")
 
 
@@ -493,15 +489,7 @@ def _(t):
 def _(t):
     rows = table(t)
     path = scratch_path(t.spark, "summary")
-    comparison = models.compare(
-        {
-            "standard": training.standard_split(rows),
-            "out of time": training.signup_split(rows, TRAIN_YEARS, TEST_YEARS),
-        },
-        BRISK,
-        names=(models.LOGISTIC,),
-        cross_validation=False,
-    )
+    comparison = _compared(rows)
     weights = models.linear_attribution(comparison.models[models.LOGISTIC, "standard"], rows)
     write_json_summary(model_summary(comparison.table, weights), path)
     return t.spark.read.json(path)
@@ -513,8 +501,7 @@ def _(t):
         joined(t),
         TRAIN_YEARS,
         TEST_YEARS,
-        BRISK,
+        FULL,
         output=scratch_path(t.spark, "run"),
-        cross_validation=False,
     )
     return outcome.comparison.table
