@@ -27,6 +27,15 @@ def training_table(joined: DataFrame) -> DataFrame:
     return materialise(models.labelled(features.training_features(filled)))
 
 
+def imputed(joined: DataFrame) -> DataFrame:
+    """The joined table without gaps: none for activity, median or commonest value for the rest.
+
+    Customers without any event count as having no visits and no app opens.
+    """
+    filled = joined.na.fill(0, ["weekly_visits", "app_opens"])
+    return features.impute(filled, untouched=("customer_id", models.LABEL))
+
+
 def standard_split(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stratified 80/20."""
     split = materialise(features.stratified_split(table, models.LABEL))
@@ -47,6 +56,12 @@ class Outcome:
     summary: DataFrame
     scored: DataFrame
 
+    @property
+    def report(self) -> DataFrame:
+        """The comparison's rows and the summary's one, told apart by ``step``."""
+        rows = self.comparison.table.withColumn("step", F.lit("comparison"))
+        return rows.unionByName(self.summary.withColumn("step", F.lit("summary")), allowMissingColumns=True)
+
 
 def run(
     joined: DataFrame,
@@ -56,8 +71,8 @@ def run(
     output: str | None = None,
     cross_validation: bool = True,
 ) -> Outcome:
-    """Prepare, split, fit, compare, explain, score everyone, and save when told where."""
-    table = training_table(joined)
+    """Impute, prepare, split, fit, compare, explain, score everyone, and save when told where."""
+    table = training_table(imputed(joined))
     standard = standard_split(table)
     comparison = models.compare(
         {

@@ -45,6 +45,22 @@ def _named(t):
     }
 
 
+REQUIRED = {
+    "customer_profiles": schemas.CUSTOMER_PROFILES,
+    "purchase_history": schemas.PURCHASE_HISTORY,
+    "purchase_lines": schemas.PURCHASE_LINES,
+    "engagement_behavior": schemas.ENGAGEMENT_BEHAVIOR,
+    "marketing_promotions": schemas.MARKETING_PROMOTIONS,
+}
+
+
+@query("S4_missing_columns")
+def _(t):
+    tables = _named(t) | {"customer_profiles": t.customers}
+    rows = [(name, schemas.missing_columns(tables[name], schema.names)) for name, schema in REQUIRED.items()]
+    return t.spark.createDataFrame(rows, "table_name string, missing array<string>")
+
+
 @query(
     "S2_registered_views",
     with_tables(

@@ -70,9 +70,14 @@ CHURN_FEATURES = _struct(
 )
 
 
+def missing_columns(df: DataFrame, required: Iterable[str]) -> list[str]:
+    """The required columns that ``df`` lacks, in order."""
+    return sorted(set(required) - set(df.columns))
+
+
 def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
     """Return ``df`` unchanged, or raise a ValueError naming what is missing."""
-    missing = sorted(set(required) - set(df.columns))
+    missing = missing_columns(df, required)
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     return df

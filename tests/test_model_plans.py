@@ -1,10 +1,12 @@
-"""Named model queries fit at full size; estimators are replaced so that nothing is fitted."""
+"""Named model queries: their sizes, with estimators replaced so that nothing is fitted, and what they return."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from clientele.operators import models, training
-from clientele.plans import model_plans
+from clientele.plans import model_plans, table_plans
 from clientele.plans.registry import QUERIES
+from clientele.sources.adapter import Tables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -47,3 +49,43 @@ def test_fits_at_full_size(monkeypatch, name):
         full.trees, full.tree_depth, full.boosting_rounds, full.folds
     )
     assert seen.get("cross_validation", True) and "names" not in seen
+
+
+def test_stacked_rows_and_auc_drop(spark, monkeypatch):
+    rows = spark.createDataFrame(
+        [("a", "standard", 0.9), ("a", "out of time", 0.7), ("b", "standard", 0.8), ("b", "out of time", 0.75)],
+        "model string, split string, roc_auc double",
+    )
+    monkeypatch.setattr(model_plans, "table", lambda t: None)
+    monkeypatch.setattr(model_plans, "_compared", lambda t: models.Comparison(rows, {}))
+    of = lambda name: QUERIES[name].__closure__[0].cell_contents(None)
+    assert sorted(of("U2_stacked_evaluations").collect()) == sorted(rows.collect())
+    drops = {(r.model, r.split): r.auc_drop for r in of("M19_model_comparison").collect()}
+    assert drops == {(m, s): d for m, d in (("a", 0.2), ("b", 0.05)) for s in ("standard", "out of time")}
+
+
+def test_end_to_end_imputes_and_sums_up(spark, tmp_path):
+    t = Tables(spark, FOLDER)
+    rows = model_plans.joined(t)
+    gaps = rows.withColumn("gender", F.when(F.col("customer_id") % 7 != 0, F.col("gender")))
+    filled = training.imputed(gaps)
+    assert filled.count() == rows.count() and filled.where("gender IS NULL OR page_views IS NULL").count() == 0
+    small = models.Settings(trees=2, tree_depth=2, boosting_rounds=1, logistic_iterations=5)
+    outcome = training.run(gaps, (1995, 1996), (1997,), small, str(tmp_path), cross_validation=False)
+    out = outcome.report.collect()
+    assert sorted(r.step for r in out) == ["comparison"] * 6 + ["summary"]
+    (last,) = [r for r in out if r.step == "summary"]
+    assert set(last.best_models) == {"standard", "out of time"} and len(last.top_features) == 5
+
+
+def test_missing_columns_per_table(spark, monkeypatch):
+    query = QUERIES["S4_missing_columns"]
+    names = {"customer_profiles", "purchase_history", "purchase_lines", "engagement_behavior", "marketing_promotions"}
+    assert {(r.table_name, len(r.missing)) for r in query(spark, FOLDER).collect()} == {(n, 0) for n in names}
+    whole = table_plans._named
+    monkeypatch.setattr(
+        table_plans, "_named", lambda t: {n: df.drop("customer_id", "discount") for n, df in whole(t).items()}
+    )
+    missing = {r.table_name: r.missing for r in query(spark, FOLDER).collect()}
+    changed = {"customer_profiles": [], "marketing_promotions": ["customer_id", "discount"]}
+    assert missing == {n: ["customer_id"] for n in names} | changed
