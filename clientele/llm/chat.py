@@ -4,7 +4,8 @@ A conversation is cut into windows of whole turns. Prefix sums of turn tokens
 place each turn in a cell of the budget; turns that start and end in a cell
 share a window, a turn that crosses the end of its cell has one of its own.
 The leading system turn stands at the head of every window, the turns just
-before a window are repeated in it as limited history, and both are left out of
+before a window are repeated in it as history, limited by what its budget
+leaves, and both are left out of
 the loss there: every assistant turn is a target exactly once.
 
 Windows are found without ever having a conversation in one task: turns are
@@ -106,7 +107,9 @@ def chat_windows(
     system_tokens = F.coalesce(
         F.regexp_count("system", F.lit(TOKEN)).cast("long") + MARKS, F.lit(0)
     )
-    stride = F.greatest(F.lit(budget - history) - system_tokens, F.lit(max(1, budget // 4)))
+    least = F.lit(max(1, budget // 4))
+    beside = F.when(system_tokens < budget, F.least(least, F.lit(budget) - system_tokens)).otherwise(least)
+    stride = F.greatest(F.lit(budget - history) - system_tokens, beside)
     placed = (
         clean.withColumn("inside", F.coalesce(F.sum("tokens").over(upto), F.lit(0)))
         .join(
@@ -129,8 +132,15 @@ def chat_windows(
     is_system = F.col("system").isNotNull() & (F.col("start") == 0)
     windows = (
         placed.groupBy("conv_id", "window")
-        .agg(F.min("start").alias("first"), F.first("system").alias("system"))
-        .select(F.col("conv_id").alias("in_conv"), F.col("window").alias("in_window"), "first", "system")
+        .agg(F.min("start").alias("first"), F.sum("tokens").alias("owned"), F.first("system").alias("system"))
+        .withColumn("left", F.lit(budget) - F.col("owned") - F.when(F.col("first") > 0, system_tokens).otherwise(0))
+        .select(
+            F.col("conv_id").alias("in_conv"),
+            F.col("window").alias("in_window"),
+            "first",
+            F.greatest(F.lit(0), F.least(F.lit(history), "left")).alias("history"),
+            "system",
+        )
     )
     piece = ["conv_id", "window", "start", "tokens", "role", "text", "fresh"]
     own = placed.withColumn("fresh", F.lit(True)).select(piece)
@@ -144,7 +154,7 @@ def chat_windows(
             windows.drop("system").withColumn("reached", F.floor(F.col("first") / history)),
             F.col("conv_id").eqNullSafe(F.col("in_conv")) & (F.col("reach") == F.col("reached")),
         )
-        .where((F.col("start") < F.col("first")) & (F.col("start") >= F.col("first") - history))
+        .where((F.col("start") < F.col("first")) & (F.col("start") >= F.col("first") - F.col("history")))
         .withColumns({"window": F.col("in_window"), "fresh": F.lit(False)})
         .select(piece)
     )

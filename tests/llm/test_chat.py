@@ -59,6 +59,17 @@ def test_windows_keep_budget_system_and_history(spark):
         assert any(r.context_turns > 1 for r in of)
 
 
+def test_budget_holds_for_long_turns_and_long_system_turns(spark):
+    rows, role = [], ["user", "assistant"]
+    for conv, (system, sizes) in enumerate([(0, (200, 900, 30, 1000, 50, 790)), (700, (40, 200, 90, 300)), (900, (30, 50, 20, 110)), (1000, (5, 9, 3, 15))]):
+        rows += [(conv, 0, "system", "s " * (system - chat.MARKS), "w", 0)] * (system > 0)
+        rows += [(conv, i, role[i % 2], "w " * (sizes[i % len(sizes)] - chat.MARKS), "w", 0) for i in range(1, 60) if sizes[i % len(sizes)] > chat.MARKS]
+    windows = chat.chat_windows(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert max(r.tokens for r in windows) <= chat.BUDGET
+    assert any(r.context_turns > 1 for r in windows if r.conv_id == 1)
+    assert sum(len(r.loss) for r in windows) == sum(r[2] == "assistant" for r in rows)
+
+
 def chat_text(formatted, span):
     return formatted[span.start : span.start + span.length]
 
