@@ -84,6 +84,15 @@ def test_recall_with_unequal_lengths(spark, lengths):
     assert sum(r.vec_id in true[r.query_id] for r in found) >= 0.9 * len(found)
 
 
+def test_windows_at_the_ends_are_as_long_as_others():
+    counts = [10] * 20
+    first, last = ann.windows(counts, 40)
+    assert set(last - first) == {4} and first[0] == 0 and last[-1] == 19
+    assert all(f <= i <= b for i, (f, b) in enumerate(zip(first, last)))
+    first, last = ann.windows([3, 50, 7], 60)
+    assert first.tolist() == [0, 0, 0] and last.tolist() == [2, 2, 2]
+
+
 def test_scores_are_inner_products(spark):
     rng = np.random.default_rng(3)
     x = np.float32(rng.normal(size=(50, 5)))
