@@ -12,13 +12,16 @@ from clientele.llm import (
     ann,
     chat,
     embedding_dedup,
+    manifest,
     mixing,
     packing,
     pii,
     quality,
     simhash,
     token_counts,
+    topk,
     url_filter,
+    whitening,
 )
 from clientele.llm.common import UPPER, table, word_count
 from clientele.sources.scratch import materialise
@@ -267,3 +270,116 @@ SELECT doc_id, size, source_size, target,
   (size * (floor((r + 1)::DOUBLE * rate + u) - floor(r::DOUBLE * rate + u)))::BIGINT AS taken
 FROM rated
 """
+
+
+# --- exact search ----------------------------------------------------------
+
+
+@query
+def op11_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+REFERENCE_SQL["op11_exact_top_k"] = """
+WITH kept AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT query_id, vec_id, score,
+    row_number() OVER (PARTITION BY query_id, asked ORDER BY score DESC, vec_id)::INT AS rank
+  FROM (
+    SELECT q.vec_id AS query_id, q.x AS asked, c.vec_id,
+      coalesce(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+    FROM kept q JOIN kept c ON len(q.x) = len(c.x) AND (q.vec_id <> c.vec_id OR q.x <> c.x)
+    WHERE q.vec_id % 50 = 0))
+WHERE rank <= 5
+"""
+
+
+# --- manifest --------------------------------------------------------------
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of all documents, and what the tampered ones lead to."""
+    docs = table(spark, folder, "documents")
+    return manifest.manifest(docs, manifest.lowered(F.col("text"), F.col("doc_id")))
+
+
+def _manifest_sql() -> str:
+    written = lambda value: (
+        f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+    )
+    leaf = lambda text: "sha256(" + " || ".join(
+        written(text if f == "text" else f) for f in manifest.FIELDS
+    ) + ")"
+    tree = lambda name, leaves: f"""
+    {name} AS (
+      SELECT scope, 0 AS level, r AS idx, digest, total AS n FROM {leaves}
+      UNION ALL
+      SELECT scope, level + 1, idx // 8, sha256(string_agg(digest, '' ORDER BY idx)), (any_value(n) + 7) // 8
+      FROM {name} WHERE n > 1 GROUP BY scope, level, idx // 8)"""
+    ways = lambda name, leaves: f"""
+      SELECT l.scope, l.r, t.level,
+        coalesce(string_agg(t.digest, '' ORDER BY t.idx) FILTER (t.idx < (l.r >> (3 * t.level))), '') AS before,
+        coalesce(string_agg(t.digest, '' ORDER BY t.idx) FILTER (t.idx > (l.r >> (3 * t.level))), '') AS after
+      FROM {leaves} l JOIN {name} t ON t.scope = l.scope AND t.n > 1
+        AND t.idx // 8 = (l.r >> (3 * t.level)) // 8
+      GROUP BY l.scope, l.r, t.level"""
+    path = lambda source: f"""
+      SELECT scope, r, list(before || '|' || after ORDER BY level) AS path,
+        string_agg(before || after, '' ORDER BY level) AS siblings
+      FROM ({source}) GROUP BY scope, r"""
+    bits = ", ".join(["-1"] * 8)
+    return f"""
+    WITH RECURSIVE hashed AS (
+      SELECT doc_id, coalesce('+' || lang, '') AS scope, {leaf('text')} AS digest,
+        CASE WHEN checksum % 3 = 0 AND text IS NOT NULL
+          THEN {leaf(f"translate(text, '{UPPER}', '{UPPER.lower()}')")} END AS changed
+      FROM (
+        SELECT *, xor(4294967295, list_reduce(
+          list_concat([4294967295::BIGINT], flatten(list_transform(
+            string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, {bits}]))),
+          lambda crc, op: CASE WHEN op >= 0 THEN xor(crc, op)
+            ELSE xor(crc >> 1, (crc & 1) * 3988292384) END)) AS checksum
+        FROM documents)),
+    leaves AS (
+      SELECT *, row_number() OVER (PARTITION BY scope ORDER BY doc_id NULLS FIRST, digest) - 1 AS r,
+        count(*) OVER (PARTITION BY scope) AS total
+      FROM hashed),
+    {tree('nodes', 'leaves')},
+    subroots AS (
+      SELECT '' AS scope, scope AS own, digest, row_number() OVER (ORDER BY scope) - 1 AS r,
+        count(*) OVER () AS total
+      FROM nodes WHERE n = 1),
+    {tree('upper_nodes', 'subroots')},
+    paths AS ({path(ways('nodes', 'leaves'))}),
+    upper_paths AS ({path(ways('upper_nodes', 'subroots'))}),
+    proven AS (
+      SELECT l.doc_id, l.digest AS leaf, l.changed, s.digest AS subroot, t.digest AS root,
+        list_concat(coalesce(p.path, []), coalesce(u.path, [])) AS path,
+        coalesce(p.siblings, '') || coalesce(u.siblings, '') AS siblings
+      FROM leaves l JOIN subroots s ON s.own = l.scope
+        JOIN (SELECT digest FROM upper_nodes WHERE n = 1) t ON true
+        LEFT JOIN paths p ON p.scope = l.scope AND p.r = l.r
+        LEFT JOIN upper_paths u ON u.r = s.r),
+    folded AS (
+      SELECT *, list_reduce(list_concat([coalesce(changed, leaf)], path),
+        lambda digest, way: sha256(split_part(way, '|', 1) || digest || split_part(way, '|', 2))) AS folded_root
+      FROM proven)
+    SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, folded_root, folded_root = root AS verified
+    FROM folded
+    """
+
+
+REFERENCE_SQL["op12_merkle_manifest"] = _manifest_sql()
+
+
+# --- whitening -------------------------------------------------------------
+
+
+@query
+def op13_whitened_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
