@@ -3,10 +3,11 @@
 Every row is a leaf. The leaves of a scope (a language) stand in a fixed order;
 runs of eight nodes become a node until one is left, and the scopes' last nodes
 are the leaves of one more tree. A node carries the interval of leaf ranks that
-it covers. Which nodes a leaf hangs from is then a matter of containment: runs
-of leaves meet their ancestors in a join on level and bucket (the rank divided
-by the level's width), and of an ancestor's children those that lie before or
-after a run's own interval are the siblings on its way to the root.
+it covers. Which nodes a leaf hangs from is then a matter of containment: from
+the top down, the nodes of a level meet those above in a join on bucket (the
+rank divided by the level's width) where one interval contains the other, and of
+a node's children those that lie before or after an interval are its siblings
+on the way to the root.
 
 All leaves of a run share their ancestors, so those are attached once per run
 and a leaf adds the other leaves of its run. Texts are hashed where they are
@@ -16,6 +17,8 @@ offsets, never from a window over a scope.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,8 +30,6 @@ FAN = 8
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Levels of a tree at most: 8^20 leaves.
 LEVELS = 21
-#: Row numbers within a partition take the low bits of a monotonically increasing id.
-ROWS = (1 << 33) - 1
 
 
 def sha256(text: Column) -> Column:
@@ -61,7 +62,9 @@ def scope_of(lang: Column) -> Column:
 def ranked(rows: DataFrame, scope: str, order: list[str]) -> DataFrame:
     """Add ``rank`` within ``scope`` (from 0) and ``total``, its number of rows.
 
-    ``rows`` must be the same whenever they are read.
+    ``rows`` must be the same whenever they are read. Offsets are one row per
+    partition and scope, and rows meet them by both, so that a scope with most
+    of the rows is no hot key.
     """
     placed = materialise(
         rows.withColumn("_row", F.monotonically_increasing_id())
@@ -69,24 +72,25 @@ def ranked(rows: DataFrame, scope: str, order: list[str]) -> DataFrame:
         .repartitionByRange(scope, *order, "_row")
         .sortWithinPartitions(scope, *order, "_row")
         .withColumn("_at", F.monotonically_increasing_id())
+        .withColumn("_part", F.shiftright("_at", 33))
         .drop("_row")
     )
-    part = F.shiftright("_at", 33)
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    own = W.partitionBy(scope)
     starts = (
-        placed.groupBy(part.alias("_part"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    )
-    # one row per partition at most
-    numbered = placed.join(F.broadcast(starts), part == F.col("_part")).withColumn(
-        "rank", F.col("_start") + F.col("_at").bitwiseAND(F.lit(ROWS))
+        placed.groupBy("_part", scope)
+        .agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+        .select(
+            "_part",
+            scope,
+            "_first",
+            F.coalesce(F.sum("_rows").over(own.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+            F.sum("_rows").over(own).alias("total"),
+        )
     )
-    scopes = numbered.groupBy(scope).agg(F.min("rank").alias("_first"), F.count(F.lit(1)).alias("total"))
     return (
-        numbered.join(scopes, scope)
-        .withColumn("rank", F.col("rank") - F.col("_first"))
-        .drop("_at", "_part", "_start", "_first")
+        placed.join(starts, ["_part", scope])
+        .withColumn("rank", F.col("_before") + F.col("_at") - F.col("_first"))
+        .drop("_at", "_part", "_first", "_before")
     )
 
 
@@ -96,132 +100,105 @@ def run_digest(children: Column, total: Column, level: int) -> Column:
     return F.when(total > FAN ** (level - 1), sha256(F.array_join(digests, ""))).otherwise(digests[0])
 
 
-def runs_of(leaves: DataFrame, scope: str, payload: list[str]) -> DataFrame:
-    """Level 1: runs of eight leaves with their interval, digest and children in order."""
-    child = F.struct("rank", *payload, "digest")
-    grouped = leaves.groupBy(scope, "total", F.floor(F.col("rank") / FAN).alias("_bucket")).agg(
-        F.array_sort(F.collect_list(child)).alias("children")
-    )
-    low = F.col("children")[0]["rank"]
-    return materialise(
-        grouped.select(
-            scope,
-            "total",
-            low.alias("low"),
-            (low + F.size("children")).alias("high"),
-            "children",
-            run_digest(F.col("children"), F.col("total"), 1).alias("digest"),
-        )
-    )
+def bucket_of(low: Column, level: int) -> Column:
+    """Where the node of ``level`` that covers a rank stands on its level."""
+    return F.floor(low / F.lit(FAN**level))
 
 
-def ancestors_of(runs: DataFrame, scope: str) -> DataFrame:
-    """The nodes of the levels from 2 up, each with its interval, digest and children.
+def levels_of(leaves: DataFrame, scope: str, payload: list[str]) -> list[DataFrame]:
+    """The nodes from level 1 up: ``scope``, ``total``, ``low``, ``high``, ``children`` in order, ``digest``.
 
-    A level has an eighth of the rows of the one below; levels go on while any
-    scope has more than one node.
+    The children of level 1 are leaves with ``payload``. A level has an eighth of
+    the rows of the one below; levels go on while any scope has more than one
+    node. The node of a lone leaf has the leaf's digest.
     """
-    below = runs.select(scope, "total", "low", "high", "digest")
-    most = runs.agg(F.max("total")).first()[0] or 0
-    found, level = [], 2
-    while FAN ** (level - 1) < most:
-        child = F.struct("low", "high", "digest")
-        grouped = (
-            below.where(F.col("total") > FAN ** (level - 1))
-            .groupBy(scope, "total", F.floor(F.col("low") / FAN**level).alias("bucket"))
-            .agg(F.array_sort(F.collect_list(child)).alias("children"))
-        )
-        nodes = materialise(
-            grouped.select(
-                scope,
-                "total",
-                F.lit(level).alias("level"),
-                "bucket",
-                F.col("children")[0]["low"].alias("low"),
-                F.element_at("children", -1)["high"].alias("high"),
-                "children",
-                run_digest(F.col("children"), F.col("total"), level).alias("digest"),
+    below = leaves.select(scope, "total", F.col("rank").alias("low"), (F.col("rank") + 1).alias("high"), *payload, "digest")
+    most = leaves.agg(F.max("total")).first()[0] or 0
+    found: list[DataFrame] = []
+    for level in range(1, LEVELS):
+        if level > 1:
+            if FAN ** (level - 1) >= most:
+                break
+            below, payload = found[-1].where(F.col("total") > FAN ** (level - 1)), []
+        child = F.struct("low", "high", *payload, "digest")
+        children = F.array_sort(F.collect_list(child)).alias("children")
+        grouped = below.groupBy(scope, "total", bucket_of(F.col("low"), level).alias("_bucket")).agg(children)
+        found.append(
+            materialise(
+                grouped.select(
+                    scope,
+                    "total",
+                    F.col("children")[0]["low"].alias("low"),
+                    F.element_at("children", -1)["high"].alias("high"),
+                    "children",
+                    run_digest(F.col("children"), F.col("total"), level).alias("digest"),
+                )
             )
         )
-        found.append(nodes)
-        below, level = nodes.select(scope, "total", "low", "high", "digest"), level + 1
-    nodes = runs.select(
-        scope,
-        "total",
-        F.lit(1).alias("level"),
-        F.floor(F.col("low") / FAN).alias("bucket"),
-        "low",
-        "high",
-        F.expr("CAST(array() AS array<struct<low: bigint, high: bigint, digest: string>>)").alias("children"),
-        "digest",
-    ).where(F.col("total") <= FAN)
-    for one in found:
-        nodes = nodes.unionByName(one)
-    return nodes
-
-
-def beside(children: Column, low: Column, high: Column, first: str, last: str) -> Column:
-    """Digests before and after an interval among the children of a node that covers it."""
-    joined = lambda keep: F.array_join(F.transform(F.filter(children, keep), lambda c: c["digest"]), "")
-    return F.struct(
-        joined(lambda c: last(c) <= low).alias("left"), joined(lambda c: first(c) >= high).alias("right")
-    )
+    return found
 
 
-def between_nodes(children: Column, low: Column, high: Column) -> Column:
-    return beside(children, low, high, lambda c: c["low"], lambda c: c["high"])
+def covers_all() -> Column:
+    return (F.col("low") == 0) & (F.col("high") == F.col("total"))
 
 
-def between_leaves(children: Column, rank: Column) -> Column:
-    return beside(children, rank, rank + 1, lambda c: c["rank"], lambda c: c["rank"] + 1)
+def tops_of(levels: list[DataFrame], scope: str) -> DataFrame:
+    """The last node of every scope."""
+    parts = [nodes.where(covers_all()).select(scope, "digest") for nodes in levels]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def tree(leaves: DataFrame, scope: str, payload: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Leaves with their ways up, and the last node of every scope.
+def beside(children: Column, low: Column, high: Column) -> Column:
+    """Digests before and after an interval among the children of a node that covers it."""
+    joined = lambda keep: F.array_join(F.transform(F.filter(children, keep), lambda c: c["digest"]), "")
+    return F.struct(
+        joined(lambda c: c["high"] <= low).alias("left"), joined(lambda c: c["low"] >= high).alias("right")
+    )
+
 
-    ``leaves`` have ``scope``, ``rank``, ``total`` and ``digest``. The first
-    table has ``payload``, ``digest`` and ``path``: from the leaf up, what stands
-    to the left and right of its own node in each run. The second has ``scope``
-    and ``root``.
+def paths_of(levels: list[DataFrame], ways: DataFrame, scope: str, payload: list[str], carried: list[str]) -> DataFrame:
+    """Every leaf with ``payload``, ``digest``, the ``carried`` columns of ``ways`` and its ``path`` up.
+
+    ``ways`` has one row per scope with the path from its last node up. From
+    there ancestors are attached level by level: a node meets the one above by
+    scope and bucket where the other's interval contains its own, and takes over
+    its path behind its own step. No key has more than eight rows. A step is what
+    stands to the left and to the right of the node in its run.
     """
-    runs = runs_of(leaves, scope, payload)
-    nodes = ancestors_of(runs, scope)
-    tops = nodes.where((F.col("low") == 0) & (F.col("high") == F.col("total"))).groupBy(scope).agg(
-        F.max_by("digest", "level").alias("root")
-    )
-    # levels on which the run's scope still has several nodes below
-    widths = F.array(*[F.lit(FAN**i) for i in range(LEVELS)])
-    height = F.size(F.filter(widths, lambda w: F.col("total") > w))
-    upper = (
-        runs.where(F.col("total") > FAN)
-        .select(scope, F.col("low").alias("_low"), F.col("high").alias("_high"), F.explode(F.sequence(F.lit(2), height)).alias("level"))
-        .withColumn("bucket", F.floor(F.col("_low") / F.element_at(widths, F.col("level") + 1)))
-        .join(nodes.drop("total", "digest"), [scope, "level", "bucket"])
-        .where((F.col("low") <= F.col("_low")) & (F.col("_high") <= F.col("high")))
-        .groupBy(scope, F.col("_low").alias("low"))
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct("level", between_nodes(F.col("children"), F.col("_low"), F.col("_high")).alias("at")))
-            ).alias("_upper")
-        )
-    )
-    steps = F.coalesce(
-        F.transform("_upper", lambda s: s["at"]), F.expr("CAST(array() AS array<struct<left: string, right: string>>)")
-    )
-    own = F.when(F.col("total") > 1, F.array(between_leaves(F.col("children"), F.col("_leaf.rank")))).otherwise(
-        F.expr("CAST(array() AS array<struct<left: string, right: string>>)")
-    )
-    paths = (
-        runs.join(upper, [scope, "low"], "left")
-        .withColumn("_leaf", F.explode("children"))
-        .select(
-            scope,
-            *[F.col(f"_leaf.{p}").alias(p) for p in payload],
-            F.col("_leaf.digest").alias("digest"),
-            F.concat(own, steps).alias("path"),
-        )
+    above: DataFrame | None = None
+    for level in range(len(levels), 0, -1):
+        nodes = levels[level - 1].drop("digest")
+        here = nodes.where(covers_all()).join(ways, scope)
+        if above is not None:
+            upper = above.select(
+                scope,
+                F.col("low").alias("_low"),
+                F.col("high").alias("_high"),
+                F.col("children").alias("_children"),
+                "path",
+                *carried,
+                bucket_of(F.col("low"), level + 1).alias("_bucket"),
+            )
+            inner = (
+                nodes.where(~covers_all())
+                .withColumn("_bucket", bucket_of(F.col("low"), level + 1))
+                .join(upper, [scope, "_bucket"])
+                .where((F.col("_low") <= F.col("low")) & (F.col("high") <= F.col("_high")))
+                .withColumn(
+                    "path", F.concat(F.array(beside(F.col("_children"), F.col("low"), F.col("high"))), "path")
+                )
+            )
+            here = here.unionByName(inner.select(*here.columns))
+        above = here
+    leaf = F.col("_leaf")
+    own = F.array(beside(F.col("children"), leaf["low"], leaf["high"]))
+    return above.withColumn("_leaf", F.explode("children")).select(
+        scope,
+        *[leaf[p].alias(p) for p in payload],
+        leaf["digest"].alias("digest"),
+        *carried,
+        F.when(F.col("total") > 1, F.concat(own, "path")).otherwise(F.col("path")).alias("path"),
     )
-    return paths, tops
 
 
 def folded(start: Column, path: Column) -> Column:
@@ -251,21 +228,25 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     text = F.col("text") if tampered is None else tampered
     fields = [F.col(f) for f in FIELDS]
     now = [text if f == "text" else F.col(f) for f in FIELDS]
-    hashed = docs.select(
-        F.col("doc_id"),
-        scope_of(F.col("lang")).alias("scope"),
-        leaf(fields).alias("digest"),
-        F.when(~text.eqNullSafe(F.col("text")), leaf(now)).alias("changed"),
+    hashed = materialise(
+        docs.select(
+            F.col("doc_id"),
+            scope_of(F.col("lang")).alias("scope"),
+            leaf(fields).alias("digest"),
+            F.when(~text.eqNullSafe(F.col("text")), leaf(now)).alias("changed"),
+        )
     )
-    leaves, subroots = tree(ranked(hashed, "scope", ["doc_id", "digest"]), "scope", ["doc_id", "changed"])
-    named = subroots.select(F.lit("").alias("all"), "scope", F.col("root").alias("digest"))
-    above, roots = tree(ranked(named, "all", ["scope"]), "all", ["scope"])
-    ways = above.join(roots, "all").select(
-        "scope", F.col("digest").alias("subroot"), F.col("path").alias("_above"), "root"
+    nothing = F.expr("CAST(array() AS array<struct<left: string, right: string>>)")
+    levels = levels_of(ranked(hashed, "scope", ["doc_id", "digest"]), "scope", ["doc_id", "changed"])
+    named = tops_of(levels, "scope").select(F.lit("").alias("all"), "scope", "digest")
+    upper = levels_of(ranked(named, "all", ["scope"]), "all", ["scope"])
+    root = tops_of(upper, "all").select("all", F.col("digest").alias("root"), nothing.alias("path"))
+    ways = paths_of(upper, root, "all", ["scope"], ["root"]).select(
+        "scope", F.col("digest").alias("subroot"), "root", "path"
     )
-    path = F.concat("path", "_above")
+    path = F.col("path")
     return (
-        leaves.join(materialise(ways), "scope")
+        paths_of(levels, materialise(ways), "scope", ["doc_id", "changed"], ["subroot", "root"])
         .select(
             "doc_id",
             F.col("digest").alias("leaf"),

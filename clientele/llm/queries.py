@@ -336,7 +336,7 @@ def _manifest_sql() -> str:
     return f"""
     WITH RECURSIVE hashed AS (
       SELECT doc_id, coalesce('+' || lang, '') AS scope, {leaf('text')} AS digest,
-        CASE WHEN checksum % 3 = 0 AND text IS NOT NULL
+        CASE WHEN doc_id IS NOT NULL AND checksum % 3 = 0 AND text IS NOT NULL
           THEN {leaf(f"translate(text, '{UPPER}', '{UPPER.lower()}')")} END AS changed
       FROM (
         SELECT *, xor(4294967295, list_reduce(
