@@ -32,6 +32,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clientele.sources.scratch import materialise
+
 ACCURACY = 10_000
 MAX_ROUNDS = 12
 SMALL = 200_000
@@ -388,59 +390,55 @@ def percentiles(
     return out
 
 
-def add_row_number(
-    df: DataFrame, value: str, tie: str, output: str, buckets: int = 64
+def prefix_sums(
+    df: DataFrame, order: Sequence[str], measures: Sequence[str], keys: Sequence[str] = ()
 ) -> DataFrame:
-    """The global row number by (value, tie).
+    """Add ``upto_<measure>``: its sum over the rows of the same ``keys`` up to this one in ``order``.
 
-    Cuts at evenly spaced ranks make buckets of equal size whose first row
-    number is known beforehand; rows are numbered inside their bucket.
+    Rows are range-partitioned by keys and order, into as many parts as the data
+    have; each part runs up its own sums and starts from those of the parts before
+    it, one row per part and key. Rows equal in keys and order are cut like
+    others. Keys must not be null.
     """
-    sample = Sample(F.col(value))
-    (size,) = counts(df, [sample])
-    ends = sorted({size * k // buckets for k in range(1, buckets)} - {0})
-    (found,) = cuts(df, tie, [(sample, ends)], [size])
-    offset = F.when(F.lit(False), F.lit(None).cast("long"))
-    start = 0
-    for end in ends:
-        offset = offset.when(found[end].covers(F.col(value), F.col(tie)), F.lit(start))
-        start = end
-    inside = F.row_number().over(W.partitionBy("_offset").orderBy(value, tie))
-    return (
-        df.where(F.col(value).isNotNull())
-        .withColumn("_offset", offset.otherwise(F.lit(start)).cast("long"))
-        .withColumn(output, F.col("_offset") + inside)
-        .drop("_offset")
+    placed = materialise(
+        df.withColumn("_row", F.monotonically_increasing_id())
+        .repartitionByRange(*keys, *order, "_row")
+        .withColumn("_part", F.spark_partition_id())
     )
-
-
-def running_totals(
-    df: DataFrame, key: str, measures: Sequence[str], buckets: int = 64
-) -> DataFrame:
-    """Add ``upto_<measure>``: its sum over all rows with a key not above this one's.
-
-    One row per distinct key. Keys are cut into buckets of about equal size; a
-    bucket's running sum starts from the total of the buckets before it.
-    """
-    (edges,) = _sketch(df, [(F.col(key), [k / buckets for k in range(1, buckets)])])
-    bucket = F.when(F.lit(False), F.lit(None).cast("int"))
-    for i, edge in enumerate(sorted(set(edges))):
-        bucket = bucket.when(F.col(key) <= F.lit(edge), F.lit(i))
-    bucketed = df.withColumn("_bucket", bucket.otherwise(F.lit(buckets)))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    totals = (
-        bucketed.groupBy("_bucket")
+    before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy(*keys, "_part")
         .agg(*[F.sum(m).alias(m) for m in measures])
         .select(
-            "_bucket",
+            *keys,
+            "_part",
             *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_before_{m}") for m in measures],
         )
     )
-    inside = W.partitionBy("_bucket").orderBy(key)
+    inside = W.partitionBy(*keys, "_part").orderBy(*order, "_row").rowsBetween(W.unboundedPreceding, 0)
     return (
-        bucketed.join(F.broadcast(totals), "_bucket")
-        .withColumns(
-            {f"upto_{m}": F.sum(m).over(inside) + F.col(f"_before_{m}") for m in measures}
-        )
-        .drop("_bucket", *[f"_before_{m}" for m in measures])
+        placed.withColumns({f"upto_{m}": F.sum(m).over(inside) for m in measures})
+        .join(starts, [*keys, "_part"])
+        .withColumns({f"upto_{m}": F.col(f"upto_{m}") + F.col(f"_before_{m}") for m in measures})
+        .drop("_row", "_part", *[f"_before_{m}" for m in measures])
     )
+
+
+def add_row_number(df: DataFrame, value: str, tie: str, output: str) -> DataFrame:
+    """The global row number by (value, tie); rows without a value are left out."""
+    counted = df.where(F.col(value).isNotNull()).withColumn("_one", F.lit(1).cast("long"))
+    return (
+        prefix_sums(counted, [value, tie], ["_one"])
+        .withColumn(output, F.col("upto__one"))
+        .drop("_one", "upto__one")
+    )
+
+
+def running_totals(
+    df: DataFrame, key: str, measures: Sequence[str], groups: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``upto_<measure>``: its sum over all rows of the group with a key not above this one's.
+
+    One row per group and key.
+    """
+    return prefix_sums(df, [key], measures, groups)

@@ -134,6 +134,24 @@ def matrix(rates: DataFrame, value: str) -> DataFrame:
     return rates.groupBy("cohort_month").pivot("period_number").agg(F.first(value))
 
 
+def matrix_rows(rates: DataFrame, value: str, digits: int = 4) -> DataFrame:
+    """The matrix with one text per cohort: the values by period from 0 on, comma-separated, empty where none.
+
+    A cohort's text ends with its last period. Columns do not hang on the data,
+    so that the table can be a view or be appended to.
+    """
+    known = F.collect_list(F.struct("period_number", F.col(value).cast(f"decimal(18,{digits})").cast("string").alias("v")))
+    of = lambda p: F.filter("known", lambda k: k["period_number"] == p)
+    last = F.array_max(F.transform("known", lambda k: k["period_number"]))
+    cells = F.transform(F.sequence(F.lit(0), last.cast("int")), lambda p: F.coalesce(F.get(of(p), 0)["v"], F.lit("")))
+    return (
+        rates.where(F.col("period_number") >= 0)
+        .groupBy("cohort_month")
+        .agg(known.alias("known"))
+        .select("cohort_month", F.array_join(cells, ",").alias("rates"))
+    )
+
+
 def evaluated_period(rates: DataFrame, at_period: int = 3) -> DataFrame:
     """The rates of one period, or of the last one there is when it is absent."""
     periods = rates.agg(

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import (
     OneHotEncoder,
     StandardScaler,
@@ -20,16 +21,18 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorSlicer,
 )
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.numeric import rounded
 from clientele.functions.ordering import add_row_number
+from clientele.operators import many_models
 from clientele.operators.churn import risk_segment
 from clientele.operators.features import add_folds, with_class_weight
-from clientele.operators.scoring import confusion_metrics, roc_auc
+from clientele.operators.many_models import TEST, TRAIN, Boosting, Key, Linear, Trees
+from clientele.operators.scoring import confusion_metrics, roc_areas, roc_auc
 from clientele.sources.scratch import materialise
 
 SEED = 42
@@ -69,6 +72,8 @@ class Settings:
     learning_rate: float = 0.05
     subsample: float = 0.8
     folds: int = 5
+    #: Forests that are fitted at the same time.
+    parallelism: int = 4
     measures: Sequence[str] = field(default=MEASURES)
     categorical: Sequence[str] = field(default=CATEGORICAL)
 
@@ -145,28 +150,76 @@ def forest(settings: Settings = Settings()) -> Pipeline:
     return Pipeline(stages=[*encoder(settings), model])
 
 
-def boosted(settings: Settings = Settings()) -> Pipeline:
-    model = GBTClassifier(
-        labelCol="label",
-        weightCol="weight",
-        maxIter=settings.boosting_rounds,
-        maxDepth=settings.boosting_depth,
-        stepSize=settings.learning_rate,
-        subsamplingRate=settings.subsample,
-        featureSubsetStrategy=str(settings.subsample),
-        minInstancesPerNode=3,
-        seed=SEED,
-    )
-    return Pipeline(stages=[*encoder(settings), model])
+@dataclass(frozen=True)
+class Boosted:
+    """Second-order boosting on binned inputs, by ``many_models``, with the interface of an estimator."""
+
+    settings: Settings
+
+    def sizes(self) -> Boosting:
+        s = self.settings
+        return Boosting(
+            rounds=s.boosting_rounds,
+            depth=s.boosting_depth,
+            rate=s.learning_rate,
+            subsample=s.subsample,
+            columns=s.subsample,
+        )
+
+    def fit(self, train: DataFrame) -> Fitted:
+        indexed = indexer(self.settings, train)
+        rows = indexed.transform(train).withColumns(
+            {"split": F.lit(0), "role": F.lit(TRAIN), "fold": F.lit(-1)}
+        )
+        layout = many_models.lay_out(rows, input_names(self.settings), [Key(0)])
+        (trees,) = many_models.boost(layout, self.sizes())
+        return Fitted(indexed, trees)
 
 
-ESTIMATORS: Mapping[str, Callable[[Settings], Pipeline]] = {
+def boosted(settings: Settings = Settings()) -> Boosted:
+    return Boosted(settings)
+
+
+ESTIMATORS: Mapping[str, Callable[[Settings], Estimator]] = {
     LOGISTIC: logistic,
     FOREST: forest,
     BOOSTED: boosted,
 }
 
 
+def input_names(settings: Settings) -> list[str]:
+    """The inputs of a model without one-hot columns, in order."""
+    return [*settings.measures, *[f"{c}_index" for c in settings.categorical]]
+
+
+def indexer(settings: Settings, rows: DataFrame) -> PipelineModel:
+    """The alphabetical label indices of the categorical inputs."""
+    stages = [s for s in encoder(settings) if isinstance(s, StringIndexer)]
+    return Pipeline(stages=stages).fit(rows)
+
+
+@dataclass(frozen=True)
+class Fitted:
+    """A model of ``many_models`` with the label indices it was fitted on."""
+
+    indices: PipelineModel
+    model: Trees | Linear
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add ``probability`` as a vector of both classes."""
+        p = F.col("_p")
+        scored = self.indices.transform(df).withColumn("_p", self.model.column())
+        return scored.withColumn("probability", array_to_vector(F.array(1 - p, p))).drop("_p")
+
+    def save(self, spark, path: str) -> None:
+        self.indices.write().overwrite().save(f"{path}/indices")
+        many_models.save_fitted(spark, self.model, f"{path}/model")
+
+    @classmethod
+    def load(cls, spark, path: str) -> Fitted:
+        return cls(PipelineModel.load(f"{path}/indices"), many_models.load_fitted(spark, f"{path}/model"))
+
+
 def labelled(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Numeric inputs, a double label and the class weights of the whole table.
 
@@ -181,7 +234,7 @@ def labelled(df: DataFrame, label: str = LABEL) -> DataFrame:
     return with_class_weight(typed, "label")
 
 
-def fit(estimator: Estimator, train: DataFrame) -> PipelineModel:
+def fit(estimator: Estimator | Boosted, train: DataFrame) -> PipelineModel | Fitted:
     """Fit with classes balanced by the training rows alone."""
     return estimator.fit(with_class_weight(train, "label"))
 
@@ -200,56 +253,125 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     )
 
 
-def auc(predicted: DataFrame) -> float:
-    return BinaryClassificationEvaluator(
-        labelCol="label", metricName="areaUnderROC", numBins=0
-    ).evaluate(predicted)
+def _tagged(splits: Sequence[tuple[DataFrame, DataFrame | None]], settings: Settings, folds: bool) -> DataFrame:
+    """The rows of all splits with their number, ``role`` and ``fold``; a row is there once per split."""
+    parts = []
+    for number, (train, test) in enumerate(splits):
+        own = add_folds(train, "label", folds=settings.folds) if folds else train.withColumn("fold", F.lit(-1))
+        parts.append(own.withColumns({"split": F.lit(number), "role": F.lit(TRAIN)}))
+        if test is not None:
+            marks = {"fold": F.lit(-1), "split": F.lit(number), "role": F.lit(TEST)}
+            parts.append(test.withColumns(marks))
+    columns = ["customer_id", "label", "split", "role", "fold", *settings.measures, *settings.categorical]
+    return materialise(reduce(DataFrame.unionByName, [p.select(*columns) for p in parts]))
+
+
+def _fit_forests(
+    rows: DataFrame, keys: Sequence[Key], settings: Settings
+) -> tuple[dict[Key, PipelineModel], DataFrame]:
+    """One forest per key, several at a time, and what each says of the rows it did not see."""
+
+    def one(key: Key) -> tuple[PipelineModel, DataFrame]:
+        own = rows.where(F.col("split") == key.split)
+        training = own.where(F.col("role") == TRAIN)
+        if key.fold is None:
+            seen, unseen = training, own.where(F.col("role") == TEST)
+        else:
+            seen, unseen = training.where(F.col("fold") != key.fold), training.where(F.col("fold") == key.fold)
+        # trees draw rows by partition and place; both follow from the ids alone
+        placed = seen.repartition("customer_id").sortWithinPartitions("customer_id")
+        model = fit(forest(settings), placed)
+        return model, model.transform(unseen).select(
+            F.lit(FOREST).alias("model"),
+            "split",
+            F.lit(key.fold).cast("int").alias("fold"),
+            "label",
+            _probability().alias("score"),
+        )
 
+    with ThreadPoolExecutor(settings.parallelism) as pool:
+        found = list(pool.map(inheritable_thread_target(rows.sparkSession)(one), keys))
+    return {k: m for k, (m, _) in zip(keys, found)}, reduce(DataFrame.unionByName, [s for _, s in found])
 
-def cross_validate(
-    estimator: Estimator, train: DataFrame, settings: Settings = Settings()
-) -> DataFrame:
-    """Mean and deviation of AUC and F1 over stratified folds, one row.
 
-    One fit per fold; the out-of-fold predictions stay distributed and are
-    measured in one aggregate for F1 and one pass per fold for AUC.
+@dataclass(frozen=True)
+class Measured:
+    """All models of several splits: ``table`` has one row per model, split and fold (-1: the whole split)."""
+
+    table: DataFrame
+    models: dict[tuple[str, Key], PipelineModel | Fitted]
+    sizes: dict[Key, tuple[int, int]]
+
+
+def _measure(
+    splits: Sequence[tuple[DataFrame, DataFrame | None]],
+    settings: Settings,
+    names: Sequence[str],
+    keys: Sequence[Key],
+) -> Measured:
+    """Fit ``names`` for all keys together and measure each on the rows that it did not see.
+
+    Inputs are encoded once. The linear and the boosted models of all keys grow
+    in the same jobs, forests beside them on the cores that these leave; all
+    areas and confusion metrics are one grouped aggregate each.
     """
-    folded = materialise(add_folds(train, "label", folds=settings.folds))
-    spark = train.sparkSession
-    areas, parts = [], []
-    for k in range(settings.folds):
-        model = fit(estimator, folded.where(F.col("fold") != k))
-        held_out = model.transform(folded.where(F.col("fold") == k)).select(
-            "fold", "label", "prediction", "rawPrediction"
-        )
-        areas.append((auc(held_out),))
-        parts.append(held_out.select("fold", "label", "prediction"))
-    hit = (F.col("label") == 1) & (F.col("prediction") == 1)
-    f1 = (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy("fold")
-        .agg(
-            (
-                F.count_if(hit) * F.lit(2.0)
-                / F.nullif(F.sum("label") + F.sum("prediction"), F.lit(0.0))
-            ).alias("f1")
-        )
+    rows = _tagged(splits, settings, any(k.fold is not None for k in keys))
+    indexed = indexer(settings, rows)
+    layout = many_models.lay_out(indexed.transform(rows), input_names(settings), keys)
+    sizes = many_models.class_sizes(layout)
+
+    def stepwise(name: str) -> tuple[dict[Key, Fitted], DataFrame]:
+        if name == LOGISTIC:
+            fitted = many_models.logistic(layout, settings.ridge, settings.logistic_iterations)
+        else:
+            fitted = many_models.boost(layout, boosted(settings).sizes())
+        own = {k: Fitted(indexed, m) for k, m in zip(keys, fitted)}
+        return own, many_models.held_out_scores(layout, fitted, name)
+
+    with ThreadPoolExecutor(1) as beside:
+        forests = None
+        if FOREST in names:
+            forests = beside.submit(
+                inheritable_thread_target(rows.sparkSession)(_fit_forests), rows, keys, settings
+            )
+        found = {name: stepwise(name) for name in names if name != FOREST}
+        if forests is not None:
+            found[FOREST] = forests.result()
+    models = {(name, k): m for name, (own, _) in found.items() for k, m in own.items()}
+    scores = [said for _, said in found.values()]
+    by = ["model", "split", "fold"]
+    scored = materialise(
+        reduce(DataFrame.unionByName, scores).withColumn("fold", F.coalesce("fold", F.lit(-1)))
+    )
+    table = roc_areas(scored, "score", "label", by).join(
+        confusion_metrics(scored, "score", "label", 0.5, 4, by), by
     )
-    means = f1.agg(
-        F.struct(F.avg(F.coalesce("f1", F.lit(0.0))).alias("m"), F.stddev_pop("f1").alias("s"))
-    ).scalar()
+    return Measured(materialise(table), models, {k: (int(s[0]), int(s[2])) for k, s in zip(keys, sizes)})
+
+
+def _over_folds(table: DataFrame, by: Sequence[str]) -> DataFrame:
     return (
-        spark.createDataFrame(areas, "auc double")
-        .agg(F.avg("auc").alias("m"), F.stddev_pop("auc").alias("s"))
-        .select(
-            rounded("m", 4).alias("cv_auc_mean"),
-            rounded("s", 4).alias("cv_auc_std"),
-            rounded(means.m, 4).alias("cv_f1_mean"),
-            rounded(means.s, 4).alias("cv_f1_std"),
+        table.where(F.col("fold") >= 0)
+        .groupBy(*by)
+        .agg(
+            rounded(F.avg("area"), 4).alias("cv_auc_mean"),
+            rounded(F.stddev_pop("area"), 4).alias("cv_auc_std"),
+            rounded(F.avg("f1"), 4).alias("cv_f1_mean"),
+            rounded(F.stddev_pop("f1"), 4).alias("cv_f1_std"),
         )
     )
 
 
+def cross_validate(name: str, train: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Mean and deviation of AUC and F1 over stratified folds, one row.
+
+    The fits of all folds share their jobs.
+    """
+    keys = [Key(0, k) for k in range(settings.folds)]
+    measured = _measure([(materialise(train), None)], settings, [name], keys)
+    return _over_folds(measured.table, [])
+
+
 def evaluate(
     model: PipelineModel, test: DataFrame, threshold: float = 0.5, digits: int = 4
 ) -> DataFrame:
@@ -277,7 +399,7 @@ class Comparison:
     """One row per model and split, with the models themselves."""
 
     table: DataFrame
-    models: dict[tuple[str, str], PipelineModel]
+    models: dict[tuple[str, str], PipelineModel | Fitted]
 
 
 def compare(
@@ -288,39 +410,39 @@ def compare(
 ) -> Comparison:
     """Fit every model on every split and measure it on that split's test rows.
 
-    The threshold is the usual one half: tuning it on the test rows would
-    overstate F1.
+    All splits and folds are fitted together. The threshold is the usual one
+    half: tuning it on the test rows would overstate F1.
     """
-    rows, models = [], {}
-    for split, (train, test) in splits.items():
-        train, test = materialise(train), materialise(test)
-        sizes = (train.count(), test.count())
-        for name in names:
-            estimator = ESTIMATORS[name](settings)
-            model = models[name, split] = fit(estimator, train)
-            row = evaluate(model, test).select(
-                F.lit(name).alias("model"),
-                F.lit(split).alias("split"),
-                "roc_auc",
-                "f1",
-                "accuracy",
-                "precision",
-                "recall",
-                F.lit(sizes[0]).alias("train_rows"),
-                F.lit(sizes[1]).alias("test_rows"),
-            )
-            if cross_validation:
-                cv = cross_validate(estimator, train, settings).select(
-                    F.struct("cv_auc_mean", "cv_auc_std")
-                )
-                found = cv.scalar()
-                row = row.select(
-                    "*",
-                    found.cv_auc_mean.alias("cv_auc_mean"),
-                    found.cv_auc_std.alias("cv_auc_std"),
-                )
-            rows.append(materialise(row))
-    return Comparison(reduce(DataFrame.unionByName, rows), models)
+    numbers = list(splits)
+    keys = [Key(i) for i in range(len(numbers))]
+    if cross_validation:
+        keys += [Key(i, k) for i in range(len(numbers)) for k in range(settings.folds)]
+    parts = [(materialise(train), materialise(test)) for train, test in splits.values()]
+    measured = _measure(parts, settings, names, keys)
+    # one row per split
+    sizes = measured.table.sparkSession.createDataFrame(
+        [(i, name, *measured.sizes[Key(i)]) for i, name in enumerate(numbers)],
+        "split int, name string, train_rows int, test_rows int",
+    )
+    found = measured.table.where(F.col("fold") < 0).join(F.broadcast(sizes), "split").select(
+        "model",
+        F.col("name").alias("split"),
+        rounded("area", 4).alias("roc_auc"),
+        "f1",
+        "accuracy",
+        "precision",
+        "recall",
+        "train_rows",
+        "test_rows",
+        F.col("split").alias("_split"),
+    )
+    if cross_validation:
+        cv = _over_folds(measured.table, ["model", "split"]).select(
+            "model", F.col("split").alias("_split"), "cv_auc_mean", "cv_auc_std"
+        )
+        found = found.join(cv, ["model", "_split"])
+    models = {(name, numbers[k.split]): m for (name, k), m in measured.models.items() if k.fold is None}
+    return Comparison(materialise(found.drop("_split")), models)
 
 
 def auc_drop(table: DataFrame, reference: str, other: str) -> DataFrame:
@@ -342,8 +464,10 @@ def best_models(table: DataFrame) -> DataFrame:
     )
 
 
-def feature_names(model: PipelineModel, df: DataFrame) -> list[str]:
+def feature_names(model: PipelineModel | Fitted, df: DataFrame) -> list[str]:
     """Names of the vector slots, read from the metadata of the assembled column."""
+    if isinstance(model, Fitted):
+        return list(model.model.inputs)
     (assembler,) = [stage for stage in model.stages if isinstance(stage, VectorAssembler)]
     column = assembler.getOutputCol()
     # A fitted pipeline's own encoders describe the slots; no row is read.
@@ -376,12 +500,16 @@ def _importance_table(df: DataFrame, pairs: Sequence[tuple[str, float]], value:
 
 def feature_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Importances of a tree model, one row per feature."""
+    if isinstance(model, Fitted):
+        return _importance_table(df, model.model.importances(), "importance")
     pairs = zip(feature_names(model, df), model.stages[-1].featureImportances.toArray())
     return _importance_table(df, list(pairs), "importance")
 
 
 def coefficients(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Coefficients of a linear model on standardised inputs, one row per feature."""
+    if isinstance(model, Fitted):
+        return _importance_table(df, list(zip(model.model.inputs, model.model.weights)), "coefficient")
     pairs = zip(feature_names(model, df), model.stages[-1].coefficients.toArray())
     return _importance_table(df, list(pairs), "coefficient")
 
@@ -393,16 +521,24 @@ def linear_attribution(model: PipelineModel, df: DataFrame) -> DataFrame:
     times standardised value.
     """
     names = feature_names(model, df)
-    weights = model.stages[-1].coefficients.toArray()
-    values = vector_to_array("features")
+    if isinstance(model, Fitted):
+        m = model.model
+        weights, rows = m.weights, model.indices.transform(df)
+        values = [
+            (F.col(c).cast("double") - F.lit(float(a))) / F.lit(float(d) or 1.0)
+            for c, a, d in zip(m.inputs, m.mean, m.deviation)
+        ]
+    else:
+        weights, rows = model.stages[-1].coefficients.toArray(), model.transform(df)
+        values = [vector_to_array("features")[i] for i in range(len(names))]
     cells = [
         F.struct(
             F.lit(name).alias("feature"),
-            rounded(F.avg(F.abs(values[i] * F.lit(float(w)))), 6).alias("importance"),
+            rounded(F.avg(F.abs(value * F.lit(float(w)))), 6).alias("importance"),
         )
-        for i, (name, w) in enumerate(zip(names, weights))
+        for name, value, w in zip(names, values, weights)
     ]
-    return model.transform(df).agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    return rows.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
 def _shuffled_donors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -426,15 +562,29 @@ def _shuffled_donors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def permutation_importance(
-    model: PipelineModel, df: DataFrame, columns: Sequence[str]
+    model: PipelineModel | Fitted, df: DataFrame, columns: Sequence[str]
 ) -> DataFrame:
-    """Loss of AUC when one input is shuffled among the rows, one row per input."""
-    paired = materialise(_shuffled_donors(df, columns))
-    base = auc(model.transform(paired))
-    losses = [
-        (c, base - auc(model.transform(paired.withColumn(c, F.col(f"_donor.{c}")))))
-        for c in columns
-    ]
+    """Loss of AUC when one input is shuffled among the rows, one row per input.
+
+    Every row is scored once as it is and once per input with the other row's
+    value there, all in one pass; areas are ranked by (input, score) together.
+    """
+    paired = _shuffled_donors(df, columns)
+    variants = F.array(
+        *[
+            F.struct(
+                F.lit(shuffled).alias("_input"),
+                *[F.col(f"_donor.{c}" if c == shuffled else c).alias(c) for c in columns],
+            )
+            for shuffled in ["", *columns]
+        ]
+    )
+    rest = [c for c in df.columns if c not in columns]
+    said = model.transform(paired.select(*rest, F.inline(variants)))
+    score = vector_to_array("rawPrediction" if "rawPrediction" in said.columns else "probability")[1]
+    areas = roc_areas(said.select("_input", "label", score.alias("score")), "score", "label", ["_input"])
+    found = {r["_input"]: r["area"] for r in areas.collect()}
+    losses = [(c, found.get("", 0.0) - found[c]) for c in columns if c in found]
     return _importance_table(df, losses, "auc_loss")
 
 
@@ -442,21 +592,29 @@ def value_models(
     train: DataFrame, test: DataFrame, target: str, settings: Settings = Settings()
 ) -> DataFrame:
     """Lifetime-value regressions: root mean square and mean absolute error per model."""
-    estimators = {
-        "Random Forest": RandomForestRegressor(
-            labelCol=target, numTrees=settings.trees, maxDepth=10, seed=SEED
-        ),
-        "Gradient Boosting": GBTRegressor(
-            labelCol=target, maxIter=settings.boosting_rounds, maxDepth=3, seed=SEED
-        ),
-    }
-    rows = []
-    for name, estimator in estimators.items():
-        model = Pipeline(stages=[*encoder(settings), estimator]).fit(train)
-        predicted = materialise(model.transform(test).select(target, "prediction"))
-        errors = [
-            RegressionEvaluator(labelCol=target, metricName=m).evaluate(predicted)
-            for m in ("rmse", "mae")
+    forest_model = Pipeline(
+        stages=[
+            *encoder(settings),
+            RandomForestRegressor(labelCol=target, numTrees=settings.trees, maxDepth=10, seed=SEED),
         ]
-        rows.append((name, *[round(e, 2) for e in errors]))
-    return train.sparkSession.createDataFrame(rows, "model string, rmse double, mae double")
+    ).fit(train)
+    said = forest_model.transform(test).select(
+        F.lit("Random Forest").alias("model"), F.col(target).cast("double").alias("label"), F.col("prediction").alias("score")
+    )
+    both = train.withColumn("role", F.lit(TRAIN)).unionByName(test.withColumn("role", F.lit(TEST)))
+    rows = both.withColumns({"split": F.lit(0), "fold": F.lit(-1), "label": F.col(target).cast("double")})
+    layout = many_models.lay_out(indexer(settings, rows).transform(rows), input_names(settings), [Key(0)])
+    sizes = Boosting(
+        rounds=settings.boosting_rounds, depth=3, rate=0.1, subsample=1.0, columns=1.0, least_weight=1.0,
+        least_gain=0.0, loss="squared",
+    )
+    boosted_said = many_models.held_out_scores(layout, many_models.boost(layout, sizes), "Gradient Boosting")
+    error = F.col("score") - F.col("label")
+    return (
+        said.unionByName(boosted_said.select("model", "label", "score"))
+        .groupBy("model")
+        .agg(
+            rounded(F.sqrt(F.avg(error * error)), 2).alias("rmse"),
+            rounded(F.avg(F.abs(error)), 2).alias("mae"),
+        )
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,12 +12,12 @@ from clientele.functions.ordering import Sample, percentiles, running_totals
 from clientele.sources.scratch import materialise
 
 
-def score_groups(scored: DataFrame, score: str, label: str) -> DataFrame:
-    """Positives and negatives per distinct score."""
+def score_groups(scored: DataFrame, score: str, label: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Positives and negatives per distinct score, of every one of ``keys`` by itself."""
     positive = F.col(label).cast("int") == 1
     return (
         scored.where(F.col(score).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("score"))
+        .groupBy(*keys, F.col(score).cast("double").alias("score"))
         .agg(
             F.count_if(positive).cast("long").alias("pos"),
             F.count_if(~positive).cast("long").alias("neg"),
@@ -23,45 +25,55 @@ def score_groups(scored: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
-def roc_auc(scored: DataFrame, score: str, label: str, digits: int = 6) -> DataFrame:
-    """Exact area under the ROC curve; equal scores count one half.
+def roc_areas(scored: DataFrame, score: str, label: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``positives``, ``negatives`` and the exact ``area`` under the ROC curve, one row per ``keys``.
 
     A positive outranks the negatives below its score and half of those at it.
+    All groups are ranked in the same job. Keys must not be null.
     """
-    upto = running_totals(materialise(score_groups(scored, score, label)), "score", ["pos", "neg"])
+    groups = score_groups(scored, score, label, keys)
+    upto = running_totals(groups, "score", ["pos", "neg"], keys)
     won = F.col("pos").cast("decimal(20,0)") * (
         F.col("upto_neg") * 2 - F.col("neg")
     ).cast("decimal(20,0)")
-    return upto.agg(
-        F.sum("pos").alias("positives"),
-        F.sum("neg").alias("negatives"),
-        F.sum(won).alias("won"),
-    ).select(
-        "positives",
-        "negatives",
-        rounded(
-            ratio(
-                F.col("won"),
-                F.col("positives").cast("double") * F.col("negatives").cast("double") * 2,
-            ),
-            digits,
-        ).alias("roc_auc"),
+    pairs = F.col("positives").cast("double") * F.col("negatives").cast("double") * 2
+    return (
+        upto.groupBy(*keys)
+        .agg(
+            F.sum("pos").alias("positives"),
+            F.sum("neg").alias("negatives"),
+            F.sum(won).alias("won"),
+        )
+        .select(*keys, "positives", "negatives", ratio(F.col("won"), pairs).alias("area"))
+    )
+
+
+def roc_auc(scored: DataFrame, score: str, label: str, digits: int = 6) -> DataFrame:
+    """Exact area under the ROC curve; equal scores count one half."""
+    return roc_areas(scored, score, label).select(
+        "positives", "negatives", rounded("area", digits).alias("roc_auc")
     )
 
 
 def confusion_metrics(
-    scored: DataFrame, score: str, label: str, threshold: float = 0.5, digits: int = 4
+    scored: DataFrame,
+    score: str,
+    label: str,
+    threshold: float = 0.5,
+    digits: int = 4,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Accuracy, precision, recall, F1 and the confusion matrix, in one aggregate."""
+    """Accuracy, precision, recall, F1 and the confusion matrix, in one aggregate, one row per ``keys``."""
     positive = F.col(label).cast("int") == 1
     predicted = F.col(score) >= threshold
-    counted = scored.where(F.col(score).isNotNull()).agg(
+    counted = scored.where(F.col(score).isNotNull()).groupBy(*keys).agg(
         F.count_if(positive & predicted).alias("tp"),
         F.count_if(~positive & predicted).alias("fp"),
         F.count_if(positive & ~predicted).alias("fn"),
         F.count_if(~positive & ~predicted).alias("tn"),
     )
     return counted.select(
+        *keys,
         F.lit(float(threshold)).alias("threshold"),
         "tn",
         "fp",

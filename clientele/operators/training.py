@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.operators import customer360, features, models
@@ -27,6 +27,29 @@ def training_table(joined: DataFrame) -> DataFrame:
     return materialise(models.labelled(features.training_features(filled)))
 
 
+def with_activity(joined: DataFrame, snapshot: Column | None = None) -> DataFrame:
+    """Orders, mean order value and days since the last order, as the business features take them.
+
+    ``snapshot`` is the day the days count to, by default the last order date.
+    """
+    day = joined.agg(F.max("last_order_date")).scalar() if snapshot is None else snapshot
+    spent, orders = F.col("total_spent").cast("double"), F.col("total_orders").cast("double")
+    return joined.withColumns(
+        {
+            "total_purchase": orders,
+            "avg_purchase_value": spent / F.nullif(orders, F.lit(0.0)),
+            "last_purchase_days": F.datediff(day, "last_order_date").cast("double"),
+        }
+    )
+
+
+def with_business_features(filled: DataFrame) -> DataFrame:
+    """Lifetime value (in place of the given one), orders a year, decayed engagement, days, flag and quartile."""
+    score = (F.col("page_views") + F.col("app_opens")).cast("double")
+    valued = features.business_features(filled.withColumn("engagement_score", score))
+    return valued.withColumnRenamed("CLV", "clv")
+
+
 def imputed(joined: DataFrame) -> DataFrame:
     """The joined table without gaps: none for activity, median or commonest value for the rest.
 
@@ -54,13 +77,30 @@ class Outcome:
     importances: DataFrame
     attribution: DataFrame
     summary: DataFrame
+    executive: DataFrame
     scored: DataFrame
 
     @property
     def report(self) -> DataFrame:
-        """The comparison's rows and the summary's one, told apart by ``step``."""
+        """The comparison's rows, the summary's one and the executive summary, told apart by ``step``."""
         rows = self.comparison.table.withColumn("step", F.lit("comparison"))
-        return rows.unionByName(self.summary.withColumn("step", F.lit("summary")), allowMissingColumns=True)
+        for step, table in (("summary", self.summary), ("executive summary", self.executive)):
+            rows = rows.unionByName(table.withColumn("step", F.lit(step)), allowMissingColumns=True)
+        return rows
+
+
+#: What the business features add to a model's inputs.
+BUSINESS_MEASURES = ("is_high_value",)
+
+
+def executive_summary(table: DataFrame, comparison: DataFrame) -> DataFrame:
+    """Customers, churn rate, customers above 1,000 and the forest's metrics on the standard split, one row."""
+    forest = comparison.where((F.col("model") == models.FOREST) & (F.col("split") == "standard"))
+    metrics = forest.agg(
+        F.first(F.struct(*[c for c in comparison.columns if c not in ("model", "split")])).alias("m")
+    ).select(F.lit(models.FOREST).alias("model"), F.lit("standard").alias("split"), "m.*")
+    # one row each
+    return customer360.executive_summary(table).join(F.broadcast(metrics), F.lit(True))
 
 
 def run(
@@ -70,9 +110,16 @@ def run(
     settings: models.Settings = models.Settings(),
     output: str | None = None,
     cross_validation: bool = True,
+    snapshot: Column | None = None,
 ) -> Outcome:
-    """Impute, prepare, split, fit, compare, explain, score everyone, and save when told where."""
-    table = training_table(imputed(joined))
+    """Impute, prepare, split, fit, compare, explain, score everyone, and save when told where.
+
+    The label is a cut of the days since the last order. The business features
+    that follow from those days (and the quartile, which follows from the value)
+    are in the table but not among the inputs.
+    """
+    settings = replace(settings, measures=(*settings.measures, *BUSINESS_MEASURES))
+    table = training_table(with_business_features(imputed(with_activity(joined, snapshot))))
     standard = standard_split(table)
     comparison = models.compare(
         {
@@ -90,12 +137,16 @@ def run(
         importances,
         models.linear_attribution(linear, standard[1]),
         model_summary(comparison.table, importances),
+        executive_summary(table, comparison.table),
         models.score(boosted, table),
     )
     if output is not None:
         for (name, split), model in comparison.models.items():
             folder = f"{name}-{split}".lower().replace(" ", "-")
-            save_model(model, f"{output}/models/{folder}")
+            if isinstance(model, models.Fitted):
+                model.save(table.sparkSession, f"{output}/models/{folder}")
+            else:
+                save_model(model, f"{output}/models/{folder}")
         write_report(comparison.table, f"{output}/model_comparison")
         write_report(importances, f"{output}/feature_importance")
         write_report(
@@ -104,4 +155,5 @@ def run(
             "parquet",
         )
         write_json_summary(outcome.summary, f"{output}/model_summary")
+        write_report(outcome.executive, f"{output}/executive_summary")
     return outcome

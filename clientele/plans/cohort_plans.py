@@ -166,12 +166,17 @@ def _(t):
     "C3_retention_matrix",
     with_tables(
         "signup_rates",
-        "SELECT * FROM (PIVOT signup_rates ON period_number"
-        " USING max(retention_rate) GROUP BY cohort_month)",
+        """SELECT p.cohort_month, string_agg(
+               coalesce(CAST(CAST(s.retention_rate AS DECIMAL(18,4)) AS VARCHAR), ''), ',' ORDER BY p.period) AS rates
+           FROM (SELECT cohort_month, unnest(range(0, last + 1)) AS period FROM (
+                   SELECT cohort_month, max(period_number) AS last FROM signup_rates
+                   WHERE period_number >= 0 GROUP BY 1)) p
+           LEFT JOIN signup_rates s ON s.cohort_month = p.cohort_month AND s.period_number = p.period
+           GROUP BY 1""",
     ),
 )
 def _(t):
-    return cohort.matrix(cohort.retention(signup_totals(t)), "retention_rate")
+    return cohort.matrix_rows(cohort.retention(signup_totals(t)), "retention_rate")
 
 
 @query(

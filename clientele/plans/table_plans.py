@@ -45,20 +45,24 @@ def _named(t):
     }
 
 
-REQUIRED = {
-    "customer_profiles": schemas.CUSTOMER_PROFILES,
-    "purchase_history": schemas.PURCHASE_HISTORY,
-    "purchase_lines": schemas.PURCHASE_LINES,
-    "engagement_behavior": schemas.ENGAGEMENT_BEHAVIOR,
-    "marketing_promotions": schemas.MARKETING_PROMOTIONS,
-}
+def _required_sql() -> str:
+    needed = ", ".join(
+        f"('{table}', '{column}')" for table, names in schemas.SOURCE_COLUMNS.items() for column in names
+    )
+    return f"""SELECT n.table_name, n.column_name, count(c.column_name) > 0 AS present
+               FROM (VALUES {needed}) n(table_name, column_name)
+               LEFT JOIN duckdb_columns() c ON c.table_name = n.table_name AND c.column_name = n.column_name
+               GROUP BY ALL"""
 
 
-@query("S4_missing_columns")
+@query("S4_required_columns", _required_sql())
 def _(t):
-    tables = _named(t) | {"customer_profiles": t.customers}
-    rows = [(name, schemas.missing_columns(tables[name], schema.names)) for name, schema in REQUIRED.items()]
-    return t.spark.createDataFrame(rows, "table_name string, missing array<string>")
+    """The columns that the adapter reads, and whether the folder's tables have them."""
+    rows = []
+    for name, required in schemas.SOURCE_COLUMNS.items():
+        missing = schemas.missing_columns(t.raw(name), required)
+        rows += [(name, column, column not in missing) for column in required]
+    return t.spark.createDataFrame(rows, "table_name string, column_name string, present boolean")
 
 
 @query(

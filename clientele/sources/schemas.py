@@ -70,6 +70,17 @@ CHURN_FEATURES = _struct(
 )
 
 
+#: What the adapter reads of each table of a data folder.
+SOURCE_COLUMNS = {
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal"),
+    "nation": ("n_nationkey", "n_name"),
+    "orders": ("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"),
+    "lineitem": ("l_orderkey", "l_partkey", "l_extendedprice", "l_discount"),
+    "part": ("p_partkey", "p_type"),
+    "events": ("user_id", "ts", "event_type", "value"),
+}
+
+
 def missing_columns(df: DataFrame, required: Iterable[str]) -> list[str]:
     """The required columns that ``df`` lacks, in order."""
     return sorted(set(required) - set(df.columns))

@@ -205,7 +205,7 @@ def test_comparison_and_explanations(training):
 
 
 def test_cross_validation(training):
-    row = models.cross_validate(models.logistic(SETTINGS), training, SETTINGS).first()
+    row = models.cross_validate(models.LOGISTIC, training, SETTINGS).first()
     assert row.cv_auc_mean > 0.6 and 0 <= row.cv_auc_std < 0.2
     assert 0 < row.cv_f1_mean <= 1
 

@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from clientele.operators import models, training
-from clientele.plans import model_plans, table_plans
+from clientele.plans import model_plans
 from clientele.plans.registry import QUERIES
+from clientele.sources import schemas
 from clientele.sources.adapter import Tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -34,6 +35,7 @@ def test_fits_at_full_size(monkeypatch, name):
         monkeypatch.setattr(training, split, lambda *a: (None, None))
     for fit in ("compare", "value_models", "forest"):
         monkeypatch.setattr(models, fit, stop)
+    monkeypatch.setattr(model_plans, "_compared", lambda rows: models.compare({}, model_plans.FULL))
     monkeypatch.setitem(models.ESTIMATORS, models.BOOSTED, stop)
     monkeypatch.setattr(training, "run", stop)
     monkeypatch.setattr(model_plans, "Tables", None)
@@ -73,19 +75,27 @@ def test_end_to_end_imputes_and_sums_up(spark, tmp_path):
     small = models.Settings(trees=2, tree_depth=2, boosting_rounds=1, logistic_iterations=5)
     outcome = training.run(gaps, (1995, 1996), (1997,), small, str(tmp_path), cross_validation=False)
     out = outcome.report.collect()
-    assert sorted(r.step for r in out) == ["comparison"] * 6 + ["summary"]
+    assert sorted(r.step for r in out) == ["comparison"] * 6 + ["executive summary", "summary"]
+    (row,) = [r for r in out if r.step == "executive summary"]
+    (forest,) = [r for r in out if r.step == "comparison" and (r.model, r.split) == ("Random Forest", "standard")]
+    assert row.total_customers == rows.count() and 0 < row.churn_rate < 1 and row.high_value_customers > 0
+    assert (row.model, row.roc_auc, row.f1, row.test_rows) == ("Random Forest", forest.roc_auc, forest.f1, forest.test_rows)
+    made = {"clv", "purchase_frequency", "engagement_decay", "days_since_purchase", "is_high_value", "churn_risk_segment"}
+    assert made <= set(outcome.scored.columns)
+    saved = models.Fitted.load(spark, f"{tmp_path}/models/gradient-boosting-standard")
+    again = models.score(saved, outcome.scored.drop("churn_prob", "risk_segment")).select("customer_id", "churn_prob")
+    assert sorted(again.collect()) == sorted(outcome.scored.select("customer_id", "churn_prob").collect())
     (last,) = [r for r in out if r.step == "summary"]
     assert set(last.best_models) == {"standard", "out of time"} and len(last.top_features) == 5
 
 
-def test_missing_columns_per_table(spark, monkeypatch):
-    query = QUERIES["S4_missing_columns"]
-    names = {"customer_profiles", "purchase_history", "purchase_lines", "engagement_behavior", "marketing_promotions"}
-    assert {(r.table_name, len(r.missing)) for r in query(spark, FOLDER).collect()} == {(n, 0) for n in names}
-    whole = table_plans._named
-    monkeypatch.setattr(
-        table_plans, "_named", lambda t: {n: df.drop("customer_id", "discount") for n, df in whole(t).items()}
-    )
-    missing = {r.table_name: r.missing for r in query(spark, FOLDER).collect()}
-    changed = {"customer_profiles": [], "marketing_promotions": ["customer_id", "discount"]}
-    assert missing == {n: ["customer_id"] for n in names} | changed
+def test_required_columns_of_the_files(spark, tmp_path):
+    query = QUERIES["S4_required_columns"]
+    whole = query(spark, FOLDER).collect()
+    assert len(whole) == sum(map(len, schemas.SOURCE_COLUMNS.values())) and all(r.present for r in whole)
+    for name in schemas.SOURCE_COLUMNS:
+        rows = spark.read.parquet(f"{FOLDER}/{name}.parquet")
+        rows = rows.drop("c_acctbal", "l_discount") if name in ("customer", "lineitem") else rows
+        rows.write.parquet(f"{tmp_path}/{name}.parquet")
+    lacking = {(r.table_name, r.column_name) for r in query(spark, str(tmp_path)).collect() if not r.present}
+    assert lacking == {("customer", "c_acctbal"), ("lineitem", "l_discount")}

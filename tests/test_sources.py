@@ -95,12 +95,17 @@ def test_a_session_without_shared_folder_gets_one_temporary_folder():
             get = staticmethod(lambda key, default=None: default)
 
         class sparkContext:
+            master = "local[1]"
+
             @staticmethod
             def getConf():
                 return Bare.conf
 
     assert shared_folder(Bare) == shared_folder(Bare)
     assert Path(shared_folder(Bare)).is_dir()
+    Bare.sparkContext.master = "yarn"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Bare)
 
 
 def _events(hot=3000):
