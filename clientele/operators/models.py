@@ -484,7 +484,8 @@ def slot_statistics(model: PipelineModel, df: DataFrame) -> DataFrame:
     cells = [
         F.struct(
             F.lit(name).alias("feature"),
-            F.round(F.avg(values[i]), 6).alias("mean"),
+            # a rounded zero may be negative
+            (F.round(F.avg(values[i]), 6) + F.lit(0.0)).alias("mean"),
             F.round(F.stddev_samp(values[i]), 6).alias("std"),
         )
         for i, name in enumerate(feature_names(model, df))

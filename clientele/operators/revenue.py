@@ -141,10 +141,9 @@ def monthly_spend_rate(spent: Column | str, months: Column | str) -> Column:
 
 
 def top_spenders(spend: DataFrame, customers: DataFrame, n: int = 10) -> DataFrame:
-    """The customers with the highest spend, with their profile."""
-    profile = customers.select(
-        "customer_id", "customer_tier", "age", "country", "churned", "months_since_signup"
-    )
+    """The customers with the highest spend, with their profile; what ``spend`` has is not read again."""
+    wanted = ("customer_tier", "age", "country", "churned", "months_since_signup")
+    profile = customers.select("customer_id", *[c for c in wanted if c not in spend.columns])
     return (
         spend.join(profile, "customer_id")
         .withColumn("monthly_revenue_rate", monthly_spend_rate("total_spent", "months_since_signup"))

@@ -321,7 +321,8 @@ _S12 = with_tables(
 
 @query("S12_analytic_base", _S12)
 def _(t):
-    base = customer360.analytic_base(joined(t))
+    wanted = "customer_id customer_tier total_spent num_promotions_responded".split()
+    base = customer360.analytic_base(joined(t).select(*wanted, *customer360.ENGAGEMENT))
     return base.select(
         "customer_id",
         "customer_tier",

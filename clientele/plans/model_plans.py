@@ -371,7 +371,50 @@ def table(t: Tables) -> DataFrame:
     return training.training_table(joined(t))
 
 
-@query("M10_standardised_features")
+_CODES = "gender country customer_tier".split()
+_CAST = {c: d(c) for c in "age months_since_signup clv total_spent weekly_visits app_opens num_promotions_responded".split()}
+_FLAG = {c: d(f"CAST({c} AS INTEGER)") for c in ("high_spender", "high_engagement")}
+_MADE = {
+    "tenure_years": r("months_since_signup / 12.0::DOUBLE", 2),
+    "spend_per_month": r(d("total_spent") + " / greatest(months_since_signup, 1)", 2),
+    "engagement_score": r(
+        "weekly_visits * 0.3::DOUBLE + session_time_minutes * 0.2::DOUBLE"
+        " + page_views * 0.25::DOUBLE + app_opens * 0.25::DOUBLE",
+        3,
+    ),
+} | {f"{c}_index": d(f"dense_rank() OVER (ORDER BY {c}) - 1") for c in _CODES}
+define(
+    "training",
+    "base",
+    f"""
+    SELECT next_purchase_prob, session_time_minutes, page_views,
+        {', '.join(f'{sql} AS {c}' for c, sql in (_CAST | _FLAG | _MADE).items())}
+    FROM (
+      SELECT * EXCLUDE (weekly_visits, app_opens, session_time_minutes, page_views),
+        coalesce(weekly_visits, 0) AS weekly_visits, coalesce(app_opens, 0) AS app_opens,
+        coalesce(session_time_minutes, (SELECT median(session_time_minutes) FROM base)) AS session_time_minutes,
+        coalesce({d('page_views')}, (SELECT median(page_views) FROM base)) AS page_views,
+        coalesce({d('total_spent')} >= (SELECT quantile_cont({d('total_spent')}, 0.99) FROM base), false)
+            AS high_spender,
+        coalesce(weekly_visits >= (SELECT quantile_cont({d('weekly_visits')}, 0.99) FROM base), false)
+            AS high_engagement
+      FROM base)""",
+)
+
+
+def _standardised_sql(name: str) -> str:
+    z = f"({name} - (SELECT avg({name}) FROM training)) / (SELECT nullif(stddev_samp({name}), 0) FROM training)"
+    return f"""SELECT '{name}' AS feature, round(coalesce(avg({z}), 0), 6) + 0.0::DOUBLE AS mean,
+               round(coalesce(stddev_samp({z}), 0), 6) AS std FROM training"""
+
+
+@query(
+    "M10_standardised_features",
+    with_tables(
+        "training",
+        " UNION ALL ".join(_standardised_sql(c) for c in [*models.MEASURES, *[f"{c}_index" for c in _CODES]]),
+    ),
+)
 def _(t):
     rows = table(t)
     scaler = Pipeline(stages=models.encoder(FULL, scaled=True)).fit(rows)

@@ -8,6 +8,7 @@ from clientele.functions.numeric import rounded
 from clientele.operators import descriptive, revenue
 from clientele.plans.reference_sql import d, define, r, with_tables
 from clientele.plans.registry import query
+from clientele.sources.adapter import CHURN_DAYS
 from clientele.sources.scratch import materialise
 
 define(
@@ -162,7 +163,10 @@ _TOP_SPENDERS = with_tables(
 
 @query("L1_top_spenders", _TOP_SPENDERS)
 def _(t):
-    return revenue.top_spenders(revenue.customer_spend(t.purchases), t.customers)
+    # a buyer's last order is in the spend; the profile needs no orders
+    spend = revenue.customer_spend(t.purchases)
+    gone = F.col("last_purchase") < F.date_sub(t.snapshot(), CHURN_DAYS)
+    return revenue.top_spenders(spend.withColumn("churned", gone), t.demographics)
 
 
 @query(

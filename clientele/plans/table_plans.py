@@ -82,7 +82,47 @@ def _(t):
     return readers.row_counts({name: t.spark.table(name) for name in tables})
 
 
-@query("S3_schema_listing")
+# The columns of the logical tables and their types.
+_LISTED = {
+    "customer_profiles": (
+        "customers",
+        "customer_id bigint, name string, gender string, age int, country string, customer_tier string, "
+        "signup_date date, months_since_signup int",
+    ),
+    "purchase_history": (
+        "purchases",
+        "order_id bigint, customer_id bigint, order_date date, order_amount decimal(18_2)",
+    ),
+    "purchase_lines": (
+        "lines",
+        "order_id bigint, order_amount decimal(18_2), discount_used boolean, discount_value decimal(18_2), "
+        "product_category string, customer_id bigint, order_date date",
+    ),
+    "engagement_behavior": (
+        "engagement",
+        "customer_id bigint, weekly_visits bigint, session_time_minutes double, page_views bigint, app_opens bigint",
+    ),
+    "marketing_promotions": (
+        "promotions",
+        "customer_id bigint, campaign_name string, discount double, variant int, responded int, "
+        "additional_revenue decimal(18_2)",
+    ),
+}
+
+
+def _listing_sql() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {i}::INTEGER AS ordinal, '{column}' AS column_name, "
+        f"replace('{kind}', '_', ',') AS column_type, count(*) AS row_count FROM {table}"
+        for name, (table, columns) in _LISTED.items()
+        for i, (column, kind) in enumerate(c.split() for c in columns.split(", "))
+    )
+
+
+@query(
+    "S3_schema_listing",
+    with_tables("customers purchases lines engagement promotions", _listing_sql()),
+)
 def _(t):
     return readers.schema_listing(_named(t))
 
