@@ -3,29 +3,27 @@
 ``ntile``, ``row_number`` and ``percentile`` over a whole table put every row,
 or a map of every distinct value, into a single task. What they need, though,
 is a handful of order statistics: the value standing at a given rank. Those are
-found by selection:
+found by counting in ever narrower bins:
 
-1. an approximate quantile sketch brackets each wanted rank (bounded result);
-2. one aggregate counts the rows below, in and above the brackets; a bracket
-   that misses its rank is replaced by the gap the rank fell into, and step 1
-   is repeated inside that gap;
-3. only the rows inside the brackets, a small share of the table, are grouped
-   by value and counted up to the rank.
+1. one aggregate counts the rows in bins that are the same for any data, a few
+   to each doubling of the value, with the least and the greatest value of each;
+2. only the bins that hold a wanted rank are looked into: their rows are counted
+   in a thousand steps between their own least and greatest value, again and
+   again, until a bin has one value or so few rows that its values are listed.
 
-Ties of a value are resolved by running the same selection over the tie-break
+Counts add up, so every step is an aggregate with map-side partials whose result
+is bounded by the number of bins, at any number of rows and however many of them
+share a value. Ties of a value are resolved by the same search over the tie-break
 column. The answers are literals, so that tiles and bins become CASE ladders
 evaluated where the rows are, with no shuffle of the rows at all.
 
-A sample counted to be small skips the brackets: its rows are few enough to be
-ordered in one task.
-
 The functions here run jobs; pass them a table that is cheap to read again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -34,9 +32,12 @@ from pyspark.sql import types as T
 
 from clientele.sources.scratch import materialise
 
-ACCURACY = 10_000
-MAX_ROUNDS = 12
-SMALL = 200_000
+#: Bins to a doubling of the value in the first count, and steps of a bin that is looked into.
+OCTAVE, STEPS = 16, 1024
+#: Rows of a bin whose values are listed.
+LISTED = 1024
+#: Where values that are no numbers stand: after all others.
+LAST = 1 << 40
 
 
 @dataclass(frozen=True)
@@ -61,116 +62,50 @@ class Standing:
     ties: int
 
 
+Bin = tuple  # least value, greatest value, rows
+
+
+class Survey(list):
+    """The number of non-null values of every sample, and the first count in ``bins``."""
+
+    bins: list[list[Bin]]
+
+
 @dataclass
-class _Search:
-    """One sample: the bracket of each rank, both ends inclusive, and the rows below it."""
+class _Gap:
+    """A part of a sample's order that holds wanted ranks; without edges it is all of it."""
 
     sample: Sample
+    at: int
+    low: object
+    high: object
+    below: int
+    rows: int
     ranks: list[int]
-    brackets: dict[int, tuple] = field(default_factory=dict)
-    below: dict[int, int] = field(default_factory=dict)
 
+    def inside(self) -> Column:
+        kept = self.sample.kept()
+        if self.low is None:
+            return kept.isNotNull()
+        return (kept >= F.lit(self.low)) & (kept <= F.lit(self.high))
 
-def counts(df: DataFrame, samples: Sequence[Sample]) -> list[int]:
-    """The number of non-null values of every sample, in one job."""
-    if not samples:
-        return []
-    row = df.agg(*[F.count(s.kept()).alias(f"n{i}") for i, s in enumerate(samples)]).first()
-    return list(row)
+    def settled(self) -> bool:
+        return self.low is not None and _place(self.low) == _place(self.high)
 
+    def split(self, bins: list[Bin]) -> list[_Gap]:
+        """The bins that hold the ranks."""
+        out, below = [], self.below
+        for low, high, rows in bins:
+            ranks = [k for k in self.ranks if below < k <= below + rows]
+            if ranks:
+                out.append(_Gap(self.sample, self.at, low, high, below, rows, ranks))
+            below += rows
+        return out
 
-def standings(
-    df: DataFrame, requests: Sequence[tuple[Sample, Sequence[int]]], sizes: Sequence[int]
-) -> list[dict[int, Standing]]:
-    """For each sample, the value standing at each of the 1-based ``ranks``."""
-    searches = [
-        _Search(sample, sorted({k for k in ranks if 1 <= k <= size}))
-        for (sample, ranks), size in zip(requests, sizes)
-    ]
-    _bracket(df, [(s, size) for s, size in zip(searches, sizes) if s.ranks and size > SMALL])
-    found = _select(df, searches)
-    return [found.get(i, {}) for i in range(len(searches))]
-
-
-def _sketch(df: DataFrame, wanted: list[tuple[Column, list[float]]]) -> list[list]:
-    """Approximate quantiles of several columns in one job."""
-    row = df.agg(
-        *[
-            F.percentile_approx(column, probabilities, ACCURACY).alias(f"q{i}")
-            for i, (column, probabilities) in enumerate(wanted)
-        ]
-    ).first()
-    return [list(q) for q in row]
-
-
-def _around(rank: int, size: int) -> tuple[float, float]:
-    slack = 2.0 / ACCURACY
-    at = (rank - 0.5) / size
-    return max(at - slack, 0.0), min(at + slack, 1.0)
-
-
-def _within(column: Column, bracket: tuple) -> Column:
-    return (column >= F.lit(bracket[0])) & (column <= F.lit(bracket[1]))
-
-
-def _bracket(df: DataFrame, live: list[tuple[_Search, int]]) -> None:
-    if not live:
-        return
-    sketched = _sketch(
-        df,
-        [
-            (s.sample.kept(), [p for rank in s.ranks for p in _around(rank, size)])
-            for s, size in live
-        ],
-    )
-    for (search, _), edges in zip(live, sketched):
-        for i, rank in enumerate(search.ranks):
-            search.brackets[rank] = (edges[2 * i], edges[2 * i + 1])
-    pending = [(s, rank) for s, _ in live for rank in s.ranks]
-    for _ in range(MAX_ROUNDS):
-        pending = _missed(df, pending)
-        if not pending:
-            return
-    raise RuntimeError("rank selection did not converge")
-
-
-def _missed(df: DataFrame, pending: list[tuple[_Search, int]]) -> list[tuple[_Search, int]]:
-    """Count around the brackets; move those that do not hold their rank."""
-    aggregates = []
-    for i, (search, rank) in enumerate(pending):
-        kept, (low, high) = search.sample.kept(), search.brackets[rank]
-        aggregates += [
-            F.count_if(kept < F.lit(low)).alias(f"b{i}"),
-            F.count_if(kept <= F.lit(high)).alias(f"u{i}"),
-            F.min(kept).alias(f"lo{i}"),
-            F.max(kept).alias(f"hi{i}"),
-        ]
-    row = df.agg(*aggregates).first()
-    missed = []
-    for i, (search, rank) in enumerate(pending):
-        low, high = search.brackets[rank]
-        search.below[rank] = row[f"b{i}"]
-        if rank <= row[f"b{i}"]:
-            search.brackets[rank] = (row[f"lo{i}"], low)
-            missed.append((search, rank))
-        elif rank > row[f"u{i}"]:
-            search.brackets[rank] = (high, row[f"hi{i}"])
-            missed.append((search, rank))
-    return missed
-
-
-def _spans(search: _Search) -> list[tuple]:
-    """Overlapping brackets joined: (low, high, rows below), in ascending order."""
-    if not search.brackets:
-        return [(None, None, 0)]
-    out: list[tuple] = []
-    for rank in search.ranks:
-        low, high = search.brackets[rank]
-        if out and low <= out[-1][1]:
-            out[-1] = (min(low, out[-1][0]), max(high, out[-1][1]), min(out[-1][2], search.below[rank]))
-        else:
-            out.append((low, high, search.below[rank]))
-    return out
+
+def _place(value) -> tuple:
+    """Sorts like the engine does, what is no number after all others."""
+    return (1, 0) if value != value else (0, value)
 
 
 def _carrier(dtype: T.DataType) -> T.DataType:
@@ -186,59 +121,109 @@ def _restored(value, dtype: T.DataType):
     return int(value) if isinstance(dtype, T.IntegralType) else value
 
 
-def _select(df: DataFrame, searches: list[_Search]) -> dict[int, dict[int, Standing]]:
-    """Group the bracketed values, count them up and pick the ranks."""
-    found: dict[int, dict[int, Standing]] = {}
-    live = {i: s for i, s in enumerate(searches) if s.ranks}
-    if not live:
-        return found
-    probe = df.select(*[s.sample.value.alias(f"v{i}") for i, s in live.items()]).schema
+def _counted(df: DataFrame, samples: Sequence[Sample], cells) -> list[list[Bin]]:
+    """The bins of every sample in order; ``cells`` gives the condition, bin and listed value of one.
+
+    Samples of one kind of number share a job.
+    """
+    out: list[list[Bin]] = [[] for _ in samples]
+    if not samples:
+        return out
+    probe = df.select(*[s.value.alias(f"v{i}") for i, s in enumerate(samples)]).schema
     by_type: dict[T.DataType, list[int]] = {}
-    for i in live:
+    for i in range(len(samples)):
         by_type.setdefault(_carrier(probe[f"v{i}"].dataType), []).append(i)
     for carrier, indexes in by_type.items():
-        spans = {i: _spans(live[i]) for i in indexes}
-        for row in _positions(df, {i: live[i] for i in indexes}, spans, carrier):
-            i = row["i"]
-            before = spans[i][row["region"]][2] + row["upto"] - row["ties"]
-            value = _restored(row["value"], probe[f"v{i}"].dataType)
-            for rank in live[i].ranks:
-                if before < rank <= before + row["ties"]:
-                    found.setdefault(i, {})[rank] = Standing(value, before, row["ties"])
+        parts = []
+        for i in indexes:
+            inside, number, listed = cells(i, carrier)
+            value = samples[i].kept().cast(carrier)
+            cell = F.struct(
+                F.lit(i).alias("i"), number.cast("long").alias("bin"),
+                (value if listed else F.lit(None).cast(carrier)).alias("listed"), value.alias("value"),
+            )
+            parts.append(F.when(inside, cell))
+        rows = (
+            df.select(F.explode(F.array_compact(F.array(*parts))).alias("p"))
+            .select("p.*")
+            .groupBy("i", "bin", "listed")
+            .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count(F.lit(1)).alias("rows"))
+            .collect()
+        )
+        for row in rows:
+            dtype = probe[f"v{row['i']}"].dataType
+            out[row["i"]].append((_restored(row["low"], dtype), _restored(row["high"], dtype), row["rows"]))
+    return [sorted(bins, key=lambda b: _place(b[0])) for bins in out]
+
+
+def counts(df: DataFrame, samples: Sequence[Sample]) -> Survey:
+    """The number of non-null values of every sample, with a first count in bins."""
+
+    def cells(i: int, carrier: T.DataType):
+        kept = samples[i].kept()
+        value = kept.cast("double")
+        size = F.floor(F.log2(F.abs(value) + 1) * OCTAVE)
+        number = F.when(F.isnan(value), F.lit(LAST)).when(value < 0, -size - 1).otherwise(size)
+        return kept.isNotNull(), number, False
+
+    bins = _counted(df, samples, cells)
+    found = Survey(sum(rows for _, _, rows in one) for one in bins)
+    found.bins = bins
     return found
 
 
-def _positions(df: DataFrame, live: dict[int, _Search], spans: dict[int, list], carrier):
-    """The wanted values with their counts: at most one row per rank."""
-    parts, wanted = [], F.lit(False)
-    for i, search in live.items():
-        kept = search.sample.kept()
-        region = F.when(kept.isNull(), F.lit(None).cast("int"))
-        for j, (low, high, _) in enumerate(spans[i]):
-            inside = kept.isNotNull() if low is None else _within(kept, (low, high))
-            region = region.when(inside, F.lit(j))
-        cell = F.struct(
-            F.lit(i).alias("i"), region.alias("region"), kept.cast(carrier).alias("value")
-        )
-        parts.append(F.when(region.isNotNull(), cell))
-        for rank in search.ranks:
-            j = max(k for k, s in enumerate(spans[i]) if s[2] < rank)
-            local = rank - spans[i][j][2]
-            wanted = wanted | (
-                (F.col("i") == i)
-                & (F.col("region") == j)
-                & (F.col("upto") >= local)
-                & (F.col("upto") - F.col("ties") < local)
-            )
-    order = W.partitionBy("i", "region").orderBy("value")
-    return (
-        df.select(F.explode(F.array_compact(F.array(*parts))).alias("p"))
-        .groupBy("p.i", "p.region", "p.value")
-        .agg(F.count(F.lit(1)).alias("ties"))
-        .withColumn("upto", F.sum("ties").over(order))
-        .where(wanted)
-        .collect()
-    )
+def _steps(gap: _Gap, carrier: T.DataType) -> Column:
+    """The step of a value between the gap's least and greatest."""
+    kept, low, high = gap.sample.kept(), gap.low, gap.high
+    if isinstance(carrier, (T.FloatType, T.DoubleType)):
+        value = kept.cast("double")
+        if not (abs(low) < float("inf") and abs(high) < float("inf")):
+            return F.when(kept == F.lit(high), F.lit(2)).when(kept == F.lit(low), F.lit(0)).otherwise(F.lit(1))
+        # halves, as the whole span may be too large
+        share = (value / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2)
+    else:
+        share = (kept.cast(carrier) - F.lit(low).cast(carrier)).cast("double") / F.lit(float(high - low))
+    return F.least(F.floor(share * STEPS), F.lit(STEPS - 1))
+
+
+def _narrowed(df: DataFrame, gaps: list[_Gap]) -> list[_Gap]:
+    """The bins within the gaps that hold their ranks."""
+
+    def cells(i: int, carrier: T.DataType):
+        listed = gaps[i].rows <= LISTED
+        return gaps[i].inside(), F.lit(0) if listed else _steps(gaps[i], carrier), listed
+
+    found = _counted(df, [g.sample for g in gaps], cells)
+    return [one for gap, bins in zip(gaps, found) for one in gap.split(bins)]
+
+
+def standings(
+    df: DataFrame, requests: Sequence[tuple[Sample, Sequence[int]]], sizes: Sequence[int]
+) -> list[dict[int, Standing]]:
+    """For each sample, the value standing at each of the 1-based ``ranks``.
+
+    ``sizes`` are the samples' numbers of values, best as ``counts`` gives them.
+    """
+    out: list[dict[int, Standing]] = [dict() for _ in requests]
+    gaps: list[_Gap] = []
+    for at, ((sample, ranks), size) in enumerate(zip(requests, sizes)):
+        wanted = sorted({k for k in ranks if 1 <= k <= size})
+        if wanted:
+            gaps.append(_Gap(sample, at, None, None, 0, size, wanted))
+    if isinstance(sizes, Survey):
+        gaps = [one for gap in gaps for one in gap.split(sizes.bins[gap.at])]
+    else:
+        large = [g for g in gaps if g.rows > LISTED]
+        gaps = [g for g in gaps if g.rows <= LISTED]
+        for gap, bins in zip(large, counts(df, [g.sample for g in large]).bins):
+            gaps += gap.split(bins)
+    while gaps:
+        for gap in gaps:
+            if gap.settled():
+                out[gap.at].update({k: Standing(gap.low, gap.below, gap.rows) for k in gap.ranks})
+        open_ = [g for g in gaps if not g.settled()]
+        gaps = _narrowed(df, open_) if open_ else []
+    return out
 
 
 @dataclass(frozen=True)
@@ -260,8 +245,6 @@ def cuts(
     df: DataFrame, tie: str, requests: Sequence[tuple[Sample, Sequence[int]]], sizes: Sequence[int]
 ) -> list[dict[int, Cut]]:
     """The cut after each rank, ties being ordered by the column ``tie``."""
-    if max(sizes, default=0) <= SMALL:
-        return _small_cuts(df, tie, requests)
     stood = standings(df, requests, sizes)
     split, out = [], [dict() for _ in requests]
     for i, ((sample, _), ranks) in enumerate(zip(requests, stood)):
@@ -286,39 +269,6 @@ def cuts(
     return out
 
 
-def _small_cuts(
-    df: DataFrame, tie: str, requests: Sequence[tuple[Sample, Sequence[int]]]
-) -> list[dict[int, Cut]]:
-    """Number the rows of every sample; only for samples counted to be small."""
-    out: list[dict[int, Cut]] = [dict() for _ in requests]
-    probe = df.select(*[s.value.alias(f"v{i}") for i, (s, _) in enumerate(requests)]).schema
-    by_type: dict[T.DataType, list[int]] = {}
-    for i, (_, ranks) in enumerate(requests):
-        if ranks:
-            by_type.setdefault(_carrier(probe[f"v{i}"].dataType), []).append(i)
-    order = W.partitionBy("i").orderBy("value", "tie")
-    for carrier, indexes in by_type.items():
-        parts, wanted = [], F.lit(False)
-        for i in indexes:
-            kept = requests[i][0].kept()
-            cell = F.struct(
-                F.lit(i).alias("i"), kept.cast(carrier).alias("value"), F.col(tie).alias("tie")
-            )
-            parts.append(F.when(kept.isNotNull(), cell))
-            wanted = wanted | ((F.col("i") == i) & F.col("rank").isin(list(requests[i][1])))
-        rows = (
-            df.select(F.explode(F.array_compact(F.array(*parts))).alias("p"))
-            .select("p.*")
-            .withColumn("rank", F.row_number().over(order))
-            .where(wanted)
-            .collect()
-        )
-        for row in rows:
-            value = _restored(row["value"], probe[f"v{row['i']}"].dataType)
-            out[row["i"]][row["rank"]] = Cut(value, row["tie"])
-    return out
-
-
 def ntile_ends(size: int, tiles: int) -> list[int]:
     """The last rank of each tile but the final one, as SQL NTILE sizes them."""
     return [k * (size // tiles) + min(k, size % tiles) for k in range(1, tiles)]

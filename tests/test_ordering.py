@@ -1,4 +1,4 @@
-"""Exact ranks and quantiles against brute force, on both the small and the bracketed path."""
+"""Exact ranks and quantiles against brute force, with bins listed and narrowed."""
 
 import random
 from decimal import Decimal
@@ -13,12 +13,13 @@ from clientele.functions import ordering
 from clientele.functions.ordering import Sample, Tiling
 
 
-@pytest.fixture(params=["small", "bracketed", "bracketed with a coarse sketch"])
+@pytest.fixture(params=["listed", "narrowed", "narrowed in few steps"])
 def path(request, monkeypatch):
-    if request.param != "small":
-        monkeypatch.setattr(ordering, "SMALL", 0)
-    if request.param.endswith("coarse sketch"):
-        monkeypatch.setattr(ordering, "ACCURACY", 8)
+    if request.param != "listed":
+        monkeypatch.setattr(ordering, "LISTED", 1)
+    if request.param.endswith("few steps"):
+        monkeypatch.setattr(ordering, "STEPS", 3)
+        monkeypatch.setattr(ordering, "OCTAVE", 1)
     return request.param
 
 
@@ -132,10 +133,47 @@ def test_rank_quantile_ends_match_interpolated_edges():
 def test_any_values(spark, values):
     rows = list(enumerate(values))
     df = spark.createDataFrame(rows, "id long, v int")
-    before = ordering.SMALL
+    before = ordering.LISTED
     try:
-        ordering.SMALL = 0
+        ordering.LISTED = 1
         tiled = ordering.add_tiles(df, "id", [Tiling("v", "tile", 5)]).collect()
     finally:
-        ordering.SMALL = before
+        ordering.LISTED = before
     assert {r.id: r.tile for r in tiled} == ntile(rows, 5)
+
+
+def test_numbers_of_every_size(spark, path):
+    inf, nan = float("inf"), float("nan")
+    doubles = [0.0, 1e-300, -1e-300, 1e300, -1e300, 1.7e308, -1.7e308, inf, -inf, nan, nan, 3.5, 3.5, 0.25, -0.25, 1e-9]
+    longs = [(1 << 62) + i for i in range(8)] + [-(1 << 63), (1 << 63) - 1, 0, 1, -1, 7, 7, 7]
+    df = spark.createDataFrame([(d, n) for d, n in zip(doubles, longs)], "d double, n long")
+    samples = [Sample(F.col("d")), Sample(F.col("n"))]
+    sizes = ordering.counts(df, samples)
+    assert list(sizes) == [16, 16]
+    ranks = list(range(1, 17))
+    by_d, by_n = ordering.standings(df, [(s, ranks) for s in samples], sizes)
+    order = sorted(doubles, key=lambda v: (v != v, v if v == v else 0))
+    assert [repr(by_d[k].value) for k in ranks] == [repr(v) for v in order]
+    assert [by_n[k].value for k in ranks] == sorted(longs)
+    assert (by_n[7].below, by_n[7].ties) == (4, 3) if sorted(longs)[6] == 7 else True
+
+
+def test_running_totals_of_a_million_scores(spark):
+    df = spark.range(1_000_000).select((F.col("id") * 37 % 1_000_003).cast("double").alias("k"), F.lit(1).cast("long").alias("a"))
+    totals = ordering.running_totals(df, "k", ["a"])
+    low, high, total, wrong = (
+        totals.withColumn("n", F.rank().over(ordering.W.partitionBy(F.floor(F.col("k") / 1000)).orderBy("k")))
+        .agg(F.min("upto_a"), F.max("upto_a"), F.countDistinct("upto_a"), F.count_if(F.col("upto_a") > F.col("k") + 1))
+        .first()
+    )
+    assert (low, high, total, wrong) == (1, 1_000_000, 1_000_000, 0)
+
+
+def test_sums_run_in_parts_of_the_data(spark):
+    df = spark.range(5000).select((F.col("id") % 977).cast("double").alias("k"), (F.col("id") % 3).cast("string").alias("g"), F.lit(2).alias("a"))
+    plan = ordering.prefix_sums(df, ["k"], ["a"], ["g"])._jdf.queryExecution().toString()
+    assert "Window" in plan and "_part" in plan.split("Window")[-1]
+    got = ordering.prefix_sums(df, ["k"], ["a"], ["g"]).groupBy("g").agg(F.max("upto_a").alias("m"), F.countDistinct("upto_a").alias("n"))
+    for r in got.collect():
+        rows = 1667 if r.g in "01" else 1666
+        assert (r.m, r.n) == (2 * rows, rows)
