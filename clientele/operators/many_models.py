@@ -19,6 +19,8 @@ rows.
 from __future__ import annotations
 
 import json
+import uuid
+from collections import OrderedDict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -37,6 +39,8 @@ BLOCK, PARTITION = 4_096, 16_384
 BINS, ACCURACY = 32, 10_000
 #: Rounds after which margins are written.
 WRITTEN = 10
+#: Blocks whose margins a worker remembers from one step to the next.
+REMEMBERED = 64
 TRAIN, TEST = 0, 1
 
 
@@ -307,6 +311,45 @@ def walk(bins: np.ndarray, feature: np.ndarray, bin_: np.ndarray, levels: int) -
     return at
 
 
+_MARGINS: OrderedDict[tuple, tuple[int, np.ndarray]] = OrderedDict()
+
+
+def margins(block: Block, base: np.ndarray, trees: tuple, depth: int) -> np.ndarray:
+    """Margins of a block's rows for the models of its split, one row per model, after ``trees``."""
+    if block.margin is None:
+        out = np.repeat(base[block.models][:, None], block.n, axis=1)
+    else:
+        out = block.margin.copy()
+    return grown(out, block, trees, depth)
+
+
+def grown(out: np.ndarray, block: Block, trees: tuple, depth: int) -> np.ndarray:
+    for f, b, v in zip(*trees):
+        for at, i in enumerate(block.models):
+            out[at] += v[i][walk(block.bins, f[i], b[i], depth)]
+    return out
+
+
+def remembered_margins(run: str, first: int, block: Block, base: np.ndarray, trees: tuple, depth: int) -> np.ndarray:
+    """The same, going on from what this worker has of the block, if anything.
+
+    ``trees`` begin with round ``first``, up to which the block's own margins
+    reach. Trees are added one after the other either way, so a worker that has
+    seen nothing comes to the same numbers.
+    """
+    place = (run, block.split, block.n, block.key[:1].tobytes())
+    now = first + len(trees[0])
+    seen, out = _MARGINS.pop(place, (-1, None))
+    if first <= seen <= now:
+        grown(out, block, tuple(t[seen - first :] for t in trees), depth)
+    else:
+        out = margins(block, base, trees, depth)
+    _MARGINS[place] = now, out
+    if len(_MARGINS) > REMEMBERED:
+        _MARGINS.popitem(last=False)
+    return out
+
+
 def sampled(key: np.ndarray, round_: int, share: float, seed: int) -> np.ndarray:
     """Which rows a round takes, by a hash of their key."""
     if share >= 1:
@@ -362,35 +405,26 @@ def boost(layout: Layout, settings: Boosting = Boosting()) -> list[Trees]:
     bin_ = np.full((settings.rounds, m, inner), bins - 1, np.int64)
     value = np.zeros((settings.rounds, m, leaves))
     gains = np.zeros((m, width))
-    rng = np.random.default_rng(settings.seed)
+    rng, run = np.random.default_rng(settings.seed), uuid.uuid4().hex
     stored, since = layout.bins, 0
     blocks = Blocks(stored, layout.tasks)
 
-    def margins(block: Block, trees: tuple) -> np.ndarray:
-        """Margins of the block's rows for the models of its split, one row per model."""
-        if block.margin is None:
-            out = np.repeat(base[block.models][:, None], block.n, axis=1)
-        else:
-            out = block.margin.copy()
-        for f, b, v in zip(*trees):
-            for at, i in enumerate(block.models):
-                out[at] += v[i][walk(block.bins, f[i], b[i], depth)]
-        return out
-
     def written(trees: tuple) -> DataFrame:
         def update(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 rows = batch.to_dict("records")
-                yield batch.assign(margin=[margins(Block(r, keys, width), trees).tobytes() for r in rows])
+                now = [margins(Block(r, keys, width), base, trees, depth).tobytes() for r in rows]
+                yield batch.assign(margin=now)
 
         return materialise(stored.mapInPandas(update, BINNED))
 
     def level_sums(round_: int, level: int, trees: tuple) -> np.ndarray | None:
-        now_feature, now_bin = feature[round_], bin_[round_]
+        now_feature, now_bin, first = feature[round_], bin_[round_], since
 
         def of(row) -> np.ndarray:
             block = Block(row, keys, width)
-            margin, drawn = margins(block, trees), sampled(block.key, round_, settings.subsample, settings.seed)
+            margin = remembered_margins(run, first, block, base, trees, depth)
+            drawn = sampled(block.key, round_, settings.subsample, settings.seed)
             out = np.zeros((2, m, 1 << level, width, bins))
             cell = np.arange(width) * bins
             for at, i in enumerate(block.models):

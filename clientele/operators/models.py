@@ -208,8 +208,9 @@ class Fitted:
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``probability`` as a vector of both classes."""
         p = F.col("_p")
+        indices = [c for stage in self.indices.stages for c in stage.getOutputCols()]
         scored = self.indices.transform(df).withColumn("_p", self.model.column())
-        return scored.withColumn("probability", array_to_vector(F.array(1 - p, p))).drop("_p")
+        return scored.withColumn("probability", array_to_vector(F.array(1 - p, p))).drop("_p", *indices)
 
     def save(self, spark, path: str) -> None:
         self.indices.write().overwrite().save(f"{path}/indices")

@@ -423,16 +423,16 @@ def kmeans_clusters(
     return scored.join(F.broadcast(lookup), scores)
 
 
+def row_shares(df: DataFrame, rows: str, columns: str, labels: Sequence[str]) -> DataFrame:
+    """Share of each value of ``rows`` that falls on each label of ``columns``, in percent."""
+    counts = df.groupBy(rows).pivot(columns, list(labels)).agg(F.count(F.lit(1))).na.fill(0)
+    whole = sum((F.col(name) for name in labels[1:]), F.col(labels[0]))
+    return counts.select(rows, *[percent(F.col(name), whole, 1).alias(name) for name in labels])
+
+
 def cluster_agreement(clustered: DataFrame, k: int = 4) -> DataFrame:
     """Share of each rule segment that falls in each cluster, in percent."""
-    labels = list(CLUSTER_LABELS[:k])
-    counts = (
-        clustered.groupBy("segment").pivot("kmeans_label", labels).agg(F.count(F.lit(1))).na.fill(0)
-    )
-    whole = sum((F.col(name) for name in labels[1:]), F.col(labels[0]))
-    return counts.select(
-        "segment", *[percent(F.col(name), whole, 1).alias(name) for name in labels]
-    )
+    return row_shares(clustered, "segment", "kmeans_label", CLUSTER_LABELS[:k])
 
 
 def segments(purchases: DataFrame) -> DataFrame:

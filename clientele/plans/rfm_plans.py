@@ -557,6 +557,21 @@ def _(t):
     return rfm.cluster_agreement(rfm.kmeans_clusters(rfm.segments(t.purchases)))
 
 
-@query("A17_row_normalised_crosstab")
+_TIERS = ("Bronze", "Silver", "Gold", "Platinum")
+
+
+@query(
+    "A17_row_normalised_crosstab",
+    with_tables(
+        "segmented customers",
+        "SELECT segment, "
+        + ", ".join(
+            r(d(f"count(*) FILTER (customer_tier = '{tier}')") + " / count(*) * 100", 1) + f' AS "{tier}"'
+            for tier in _TIERS
+        )
+        + " FROM segmented JOIN customers USING (customer_id) GROUP BY 1",
+    ),
+)
 def _(t):
-    return rfm.cluster_agreement(rfm.kmeans_clusters(rfm.segments(t.purchases)))
+    tiers = t.demographics.select("customer_id", "customer_tier")
+    return rfm.row_shares(rfm.segments(t.purchases).join(tiers, "customer_id"), "segment", "customer_tier", _TIERS)

@@ -42,6 +42,7 @@ def test_fits_at_full_size(monkeypatch, name):
 
     class Stub:
         spark = None
+        snapshot = staticmethod(lambda: None)
 
     build = QUERIES[name].__closure__[0].cell_contents
     with pytest.raises(Reached):
