@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +51,35 @@ def finite_vector(vector: Column) -> Column:
         vector.isNotNull() & F.forall(vector, number) & F.exists(vector, lambda x: x != 0),
         F.lit(False),
     )
+
+
+def give_back() -> None:
+    """Hand memory that is free in this worker back to the system.
+
+    Workers outlive their tasks, and what their allocators keep would count
+    against the executor for as long.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task function that gives memory back after every batch of its input and at its end."""
+
+    @wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        def taken() -> Iterator:
+            for batch in batches:
+                yield batch
+                del batch
+                give_back()
+
+        try:
+            yield from run(taken())
+        finally:
+            give_back()
+
+    return wrapped

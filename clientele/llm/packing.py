@@ -28,6 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clientele.llm.common import giving_back
+
 CAPACITY = 2048
 END = 1
 #: Cost of a squared token against that of a token.
@@ -273,7 +275,7 @@ def pack(
             yield _batch(made)
 
     read = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    return read.mapInArrow(run, f"doc_id long, {PIECE}")
+    return read.mapInArrow(giving_back(run), f"doc_id long, {PIECE}")
 
 
 def _batch(pieces: list[tuple]) -> pa.RecordBatch:

@@ -14,14 +14,19 @@ no span of the rules.
 from __future__ import annotations
 
 import re
+import zlib
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clientele.llm.common import giving_back
+
 # fixed values: kinds in their order, and the patterns of the rules
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -61,7 +66,9 @@ def base_spans(text: str) -> list[Span]:
     """What the rules find, by start, then kind."""
     found = [(a, 0, b) for a, b in emails(text)]
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        # zeros in front may be any number
+        parts = [p.lstrip("0") for p in m.group().split(".")]
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in parts):
             found.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         digits = digits_of(m.group()) if m.end() - m.start() < 40 else ""
@@ -160,6 +167,8 @@ STEPS, BATCH, RATE = 140, 96, 0.02
 SEED = 5
 #: Documents and windows of the training sample.
 SAMPLE, SAMPLE_WINDOWS = 8000, 2400
+#: Stretches of a sampled document, and characters of one, that the sample takes at most.
+PER_DOCUMENT, LONGEST = 8, 4 * LENGTH
 
 
 @dataclass(frozen=True)
@@ -370,15 +379,19 @@ def examples(parts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.stack(windows), np.stack(labels)
 
 
-def stretches(text: str) -> list[str]:
-    return [text[max(0, a - STRIDE) : b + STRIDE] for a, b in regions(text, whole=False) if b - a <= 4 * LENGTH]
+def stretches(text: str, most: int = PER_DOCUMENT, longest: int = LONGEST) -> list[str]:
+    """Up to ``most`` stretches with seeds of at most ``longest`` characters, drawn by their hash."""
+    found = [text[max(0, a - STRIDE) : b + STRIDE] for a, b in regions(text, whole=False) if b - a <= longest]
+    return sorted(found, key=lambda s: (zlib.crc32(s.encode("utf-8", "surrogatepass")), s))[:most]
 
 
 def sample_stretches(docs: DataFrame, documents: int = SAMPLE, windows: int = SAMPLE_WINDOWS) -> list[str]:
     """Stretches with seeds from about ``documents`` documents, ``windows`` of them at most.
 
     Documents are drawn by a hash of id and text among those with a digit or at
-    sign; this bounded sample is all the tagger is trained on.
+    sign, and of each at most ``PER_DOCUMENT`` stretches of at most ``LONGEST``
+    characters, by their own hash; this bounded sample is all the tagger is
+    trained on.
     """
     seeded = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]"))
     total = docs.count()
@@ -388,10 +401,10 @@ def sample_stretches(docs: DataFrame, documents: int = SAMPLE, windows: int = SA
 
     def cut_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts = [p for t in batch["text"] for p in stretches(t)[:8]]
+            parts = [p for t in batch["text"] for p in stretches(t)]
             yield pd.DataFrame({"part": parts}, dtype=object)
 
-    rows = drawn.select("text").mapInPandas(cut_out, "part string")
+    rows = drawn.select("text").mapInPandas(giving_back(cut_out), "part string")
     kept = rows.orderBy(F.xxhash64("part"), "part").limit(windows).collect()
     return [r["part"] for r in kept]
 
@@ -474,10 +487,11 @@ def tag(texts: Sequence[str | None], tagger: Tagger, block: int = 512) -> list[l
     for text, found in zip(texts, decoded):
         text = text or ""
         base = base_spans(text)
+        starts, reach = [a for a, _, _ in base], list(accumulate((b for _, _, b in base), max))
         added = [
             s
             for s in _whole_emails(text, _by_region(found))
-            if well_formed(s[1], text[s[0] : s[2]]) and not _touches(s, base)
+            if well_formed(s[1], text[s[0] : s[2]]) and not _touches(s, starts, reach)
         ]
         spans = [Found(a, k, b, True) for a, k, b in base] + [Found(a, k, b, False) for a, k, b in added]
         out.append(sorted(spans, key=lambda f: (f.start, f.kind, f.end)))
@@ -521,12 +535,10 @@ def _whole_emails(text: str, spans: list[Span]) -> list[Span]:
     return out
 
 
-def _touches(span: Span, base: list[Span]) -> bool:
-    import bisect
-
-    at = bisect.bisect_left(base, (span[2], -1, -1))
-    # spans of the rules are short against the text; those of four kinds may overlap
-    return any(b > span[0] for _, _, b in base[max(0, at - 8) : at])
+def _touches(span: Span, starts: list[int], reach: list[int]) -> bool:
+    """Whether a span overlaps one of the rules'; ``reach`` is how far all up to each one come."""
+    at = bisect_left(starts, span[2])
+    return at > 0 and reach[at - 1] > span[0]
 
 
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
@@ -536,6 +548,7 @@ def personal_data(text: Column, tagger: Tagger) -> Column:
     """All spans of each whole text; a null text has none."""
 
     @F.pandas_udf(SPANS)
+    @giving_back
     def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             found = tag(list(texts), tagger)
@@ -551,6 +564,7 @@ def redacted(text: Column, tagger: Tagger) -> Column:
     """The text with each span (or run of overlapping spans) replaced by its kind in brackets; null stays null."""
 
     @F.pandas_udf("string")
+    @giving_back
     def cleaned(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             found = tag(list(texts), tagger)

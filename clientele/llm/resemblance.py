@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.common import packed, unpacked
+from clientele.llm.common import giving_back, packed, unpacked
 from clientele.llm.components import connected_components
 from clientele.llm.groups import BLOCKS, blocked, group_starts, local_roots, whole_groups
 from clientele.llm.simhash import BLOCK, SEED, links_within, pivot_table, shingle_hashes
@@ -128,7 +128,7 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         number.alias("fingerprint"),
         F.array(number).alias("anchors"),
     ).schema
-    return docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(run, schema)
+    return docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(giving_back(run), schema)
 
 
 def forest(size: int, left: np.ndarray, right: np.ndarray, cost: np.ndarray) -> np.ndarray:
@@ -175,7 +175,7 @@ def candidate_links(nodes: DataFrame, similarity: float = SIMILARITY, block: int
                     if len(links):
                         yield links
 
-    found = dealt.mapInPandas(run, "a long, b long, bits int, cut boolean")
+    found = dealt.mapInPandas(giving_back(run), "a long, b long, bits int, cut boolean")
     return found.groupBy("a", "b", "bits").agg(F.max("cut").alias("cut"))
 
 
@@ -228,7 +228,7 @@ def family_links(members: DataFrame, similarity: float = SIMILARITY, block: int
                 if len(hung):
                     yield pd.DataFrame({"a": names[root[hung]], "b": names[hung]})
 
-    return dealt.mapInPandas(run, "a long, b long")
+    return dealt.mapInPandas(giving_back(run), "a long, b long")
 
 
 def similar_pairs(
@@ -292,7 +292,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         named, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_of"))
     )
     made = texts.select("node", F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, "node long, hashes array<long>"
+        giving_back(run), "node long, hashes array<long>"
     )
     return made.dropDuplicates(["node"])
 

@@ -110,5 +110,9 @@ def token_counts(text: Column, vocabulary: str) -> Column:
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, output: str = "n_tokens") -> DataFrame:
-    """Add ``output`` to ``docs``; a column of that name is replaced. Rows stay where they are."""
+    """Add ``output`` to ``docs``; a column of that name is replaced. Rows stay where they are.
+
+    A document counts by itself, so repeated rows and documents alike have equal
+    counts, and an empty table gives no rows.
+    """
     return docs.withColumn(output, token_counts(F.col("text"), vocabulary))
