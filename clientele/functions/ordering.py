@@ -35,7 +35,7 @@ from clientele.sources.scratch import materialise
 #: Bins to a doubling of the value in the first count, and steps of a bin that is looked into.
 OCTAVE, STEPS = 16, 1024
 #: Rows of a bin whose values are listed.
-LISTED = 1024
+LISTED = 8192
 #: Where values that are no numbers stand: after all others.
 LAST = 1 << 40
 

@@ -31,7 +31,8 @@ def roc_areas(scored: DataFrame, score: str, label: str, keys: Sequence[str] = (
     A positive outranks the negatives below its score and half of those at it.
     All groups are ranked in the same job. Keys must not be null.
     """
-    groups = score_groups(scored, score, label, keys)
+    # a range partitioning reads its input twice
+    groups = materialise(score_groups(scored, score, label, keys))
     upto = running_totals(groups, "score", ["pos", "neg"], keys)
     won = F.col("pos").cast("decimal(20,0)") * (
         F.col("upto_neg") * 2 - F.col("neg")
