@@ -6,14 +6,14 @@ label, role and fold. Every step of a fit is one sum over all blocks, with a
 slot for each model:
 
 * boosted trees: a level of the current tree of every model is one sum of
-  gradients and second derivatives by (model, node, input, bin). Margins are
-  written with the blocks every few rounds and brought up to date from the
+  gradients and second derivatives by (model, node, input, bin), and the best
+  splits are chosen where a model's sum is. Margins are written with the blocks every few rounds and brought up to date from the
   trees since, so that a lost executor costs no more than that;
 * logistic regression: a Newton step of every model is one sum of Gram matrices
   and gradients.
 
-Only those sums and the trees are on the driver; none of them grows with the
-rows.
+Only the sums of the latter and the trees are on the driver; none of them grows
+with the rows.
 """
 
 from __future__ import annotations
@@ -35,6 +35,10 @@ from clientele.sources.scratch import materialise
 
 #: Rows of a block and of a partition of blocks.
 BLOCK, PARTITION = 4_096, 16_384
+#: Partitions beyond which they grow instead, and their rows at most.
+PARTITIONS, LARGEST = 64, 131_072
+#: Tasks that complete the sums of a level.
+REDUCERS = 4
 #: Bins of an input, and the accuracy of the sketch that places their edges.
 BINS, ACCURACY = 32, 10_000
 #: Rounds after which margins are written.
@@ -117,6 +121,11 @@ SCHEMA = "split int, rows int, key binary, x binary, bins binary, label binary,
 BINNED = SCHEMA.replace("x binary, ", "")
 
 
+def partitions(rows: int) -> int:
+    """How many partitions of blocks there are for so many rows."""
+    return max(1, min(-(-rows // PARTITION), max(PARTITIONS, -(-rows // LARGEST))))
+
+
 def lay_out(rows: DataFrame, inputs: Sequence[str], keys: Sequence[Key], id_column: str = "customer_id") -> Layout:
     """Blocks of ``rows``, which have ``split`` (number), ``role``, ``fold``, ``label`` and ``inputs``.
 
@@ -134,7 +143,7 @@ def lay_out(rows: DataFrame, inputs: Sequence[str], keys: Sequence[Key], id_colu
         )
     )
     edges = bin_edges(kept, inputs)
-    tasks = max(1, -(-kept.count() // PARTITION))
+    tasks = partitions(kept.count())
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -407,7 +416,7 @@ def boost(layout: Layout, settings: Boosting = Boosting()) -> list[Trees]:
     gains = np.zeros((m, width))
     rng, run = np.random.default_rng(settings.seed), uuid.uuid4().hex
     stored, since = layout.bins, 0
-    blocks = Blocks(stored, layout.tasks)
+    blocks = Blocks(stored, layout.tasks, held=True)
 
     def written(trees: tuple) -> DataFrame:
         def update(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -418,19 +427,18 @@ def boost(layout: Layout, settings: Boosting = Boosting()) -> list[Trees]:
 
         return materialise(stored.mapInPandas(update, BINNED))
 
-    def level_sums(round_: int, level: int, trees: tuple) -> np.ndarray | None:
+    def level_splits(round_: int, level: int, trees: tuple, allowed: np.ndarray) -> dict[int, tuple]:
         now_feature, now_bin, first = feature[round_], bin_[round_], since
+        # the first input gives the sums of whole nodes, allowed or not
+        taken = np.flatnonzero(allowed | (np.arange(width) == 0))
+        cells, cell = len(taken) * bins, np.arange(len(taken)) * bins
 
-        def of(row) -> np.ndarray:
-            block = Block(row, keys, width)
+        def of(row) -> dict[int, np.ndarray]:
+            block, out = Block(row, keys, width), {}
             margin = remembered_margins(run, first, block, base, trees, depth)
             drawn = sampled(block.key, round_, settings.subsample, settings.seed)
-            out = np.zeros((2, m, 1 << level, width, bins))
-            cell = np.arange(width) * bins
             for at, i in enumerate(block.models):
                 own = np.flatnonzero(block.training[at] & drawn)
-                if not len(own):
-                    continue
                 y, f, b = block.label[own], margin[at, own], block.bins[own]
                 if logistic:
                     p, w = sigmoid(f), np.where(y > 0, weight[i], 1.0)
@@ -438,33 +446,35 @@ def boost(layout: Layout, settings: Boosting = Boosting()) -> list[Trees]:
                 else:
                     g, h = f - y, np.ones(len(own))
                 node = walk(b, now_feature[i], now_bin[i], level)
-                places = (node[:, None] * (width * bins) + cell + b).ravel()
-                size = (1 << level) * width * bins
-                out[0, i] = np.bincount(places, np.repeat(g, width), size).reshape(1 << level, width, bins)
-                out[1, i] = np.bincount(places, np.repeat(h, width), size).reshape(1 << level, width, bins)
+                places = (node[:, None] * cells + cell + b[:, taken]).ravel()
+                out[i] = np.stack(
+                    [np.bincount(places, np.repeat(v, len(taken)), cells << level) for v in (g, h)]
+                ).reshape(2, 1, 1 << level, len(taken), bins)
             return out
 
-        return blocks.summed(of)
+        def choose(_: int, sums: np.ndarray) -> tuple:
+            f, *rest = splits_of(sums[0], sums[1], allowed[None, taken, None], settings)
+            return taken[f], *rest
+
+        return blocks.chosen(of, choose, min(m, REDUCERS))
 
     for round_ in range(settings.rounds):
         if round_ - since == WRITTEN:
             stored = written((feature[since:round_], bin_[since:round_], value[since:round_]))
-            blocks, since = Blocks(stored, layout.tasks), round_
+            blocks.release()
+            blocks, since = Blocks(stored, layout.tasks, held=True), round_
         trees = (feature[since:round_], bin_[since:round_], value[since:round_])
-        allowed = np.zeros((width, 1), bool)
+        allowed = np.zeros(width, bool)
         allowed[rng.permutation(width)[: max(1, round(settings.columns * width))]] = True
         for level in range(depth):
-            sums = level_sums(round_, level, trees)
-            if sums is None:
-                break
-            f, b, gain, left, right = splits_of(sums[0], sums[1], np.broadcast_to(allowed, (m, width, 1)), settings)
             nodes = slice((1 << level) - 1, (2 << level) - 1)
-            feature[round_][:, nodes], bin_[round_][:, nodes] = f, b
-            for i in range(m):
-                np.add.at(gains[i], f[i], gain[i])
-            if level == depth - 1:
-                for side, (g, h) in enumerate((left, right)):
-                    value[round_][:, side::2] = -settings.rate * g / (h + settings.ridge)
+            for i, (f, b, gain, left, right) in level_splits(round_, level, trees, allowed).items():
+                feature[round_][i, nodes], bin_[round_][i, nodes] = f[0], b[0]
+                np.add.at(gains[i], f[0], gain[0])
+                if level == depth - 1:
+                    for side, (g, h) in enumerate((left, right)):
+                        value[round_][i, side::2] = (-settings.rate * g / (h + settings.ridge))[0]
+    blocks.release()
     return [
         Trees(
             float(base[i]), layout.inputs, layout.edges, depth, feature[:, i].copy(), bin_[:, i].copy(),

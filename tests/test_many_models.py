@@ -1,10 +1,12 @@
 """Models grown together against models grown alone, and against plain numpy."""
 
 import math
+import pickle
 import random
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
@@ -126,6 +128,55 @@ def test_sums_in_a_tree_are_the_same(layout, monkeypatch):
     assert all((a.feature == b.feature).all() and np.allclose(a.value, b.value) for a, b in zip(before, after))
 
 
+def returned(monkeypatch):
+    """What collected jobs bring to the driver, in pickled bytes."""
+    sizes, collect = [], RDD.collect
+
+    def counted(self):
+        found = collect(self)
+        sizes.append(len(pickle.dumps(found)))
+        return found
+
+    monkeypatch.setattr(RDD, "collect", counted)
+    return sizes
+
+
+@pytest.mark.parametrize("loss", ["logistic", "squared"])
+def test_what_reaches_the_driver_does_not_grow_with_the_partitions(rows, monkeypatch, loss):
+    settings, got, grown = Boosting(rounds=3, depth=4, loss=loss), [], []
+    sizes = returned(monkeypatch)
+    for partition in (1000, 40):
+        monkeypatch.setattr(many_models, "PARTITION", partition)
+        layout = many_models.lay_out(rows, INPUTS, KEYS)
+        sizes.clear()
+        grown.append(many_models.boost(layout, settings))
+        got.append(sum(sizes))
+    assert layout.tasks == 23
+    # the class sizes are summed as before
+    assert got[1] < got[0] + 23 * 2_000
+    assert got[0] < 3 * 4 * len(KEYS) * 3_000
+    for a, b in zip(*grown):
+        assert (a.feature == b.feature).all() and np.allclose(a.value, b.value)
+
+
+def test_partitions_grow_in_number_and_then_in_size():
+    counts = [many_models.partitions(n) for n in (0, 16_384, 16_385, 10**6, 10**7, 10**9)]
+    assert counts == [1, 1, 2, 62, 77, 7630]
+
+
+def test_chosen_sums_are_added_in_the_order_of_the_tasks(layout):
+    blocks = sums.Blocks(layout.blocks.repartition(7), 7, held=True)
+    parts = blocks.partitions.mapPartitionsWithIndex(
+        lambda at, found: [(at, sum((np.frombuffer(r["label"]).sum() / 3 for r in found), 0.0))]
+    ).collect()
+    for reducers in (1, 3):
+        found = blocks.chosen(
+            lambda r: {k: np.array([np.frombuffer(r["label"]).sum() / 3]) for k in (4, 9)}, lambda k, a: (k, a[0]), reducers
+        )
+        assert found == {k: (k, sum(p for _, p in sorted(parts))) for k in (4, 9)}
+    blocks.release()
+
+
 @pytest.mark.parametrize("key", [Key(0), Key(1, 2)])
 def test_area_is_near_that_of_the_library(rows, layout, key):
     from pyspark.ml.classification import GBTClassifier
