@@ -30,8 +30,8 @@ from clientele.sources.scratch import materialise
 
 SCALE = 256
 COMPONENTS = 4
-#: Vectors of a block of the layout.
-BLOCK = 2048
+#: Vectors of a block of the layout, and of a task of a product.
+BLOCK, PARTITION = 2048, 8192
 #: Vectors the search starts with, and basis vectors beyond which it starts again from the best ones.
 START, WIDEST = 32, 64
 #: Inner steps of a correction, and the share of its residual that ends it sooner.
@@ -234,6 +234,8 @@ class Fit:
         self.blocks, self.dimension = laid_out(distinct), dimension
         self.n, self.sums = self._count()
         self.mean = np.array([s / self.n for s in self.sums])
+        # some 45 products follow; they need the tasks that the vectors fill, however many these were dealt over
+        self.blocks = self.blocks.coalesce(max(1, -(-self.n // PARTITION)))
 
     def _count(self) -> tuple[int, list[int]]:
         dimension = self.dimension

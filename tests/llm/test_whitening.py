@@ -131,3 +131,13 @@ def test_query_returns_its_columns(spark, tmp_path):
     got = queries.op13_whitened_embeddings(spark, str(tmp_path))
     assert ",".join(f"{n} {t}" for n, t in got.dtypes) == whitening.OUT.replace(", ", ",").replace("long", "bigint")
     check(got.collect(), brute(rows))
+
+
+def test_products_take_the_tasks_that_the_vectors_fill(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "PARTITION", 20)
+    x = [[i, i * i % 17, -i] for i in range(50)]
+    spread = spark.createDataFrame([(v,) for v in x], "x array<long>").repartition(29)
+    of = whitening.Fit(spread, 3)
+    assert of.blocks.rdd.getNumPartitions() == 3 and of.n == 50
+    centred = np.array(x, float) - of.mean
+    assert np.allclose(of.product(np.eye(3)), centred.T @ centred / 50)
