@@ -19,7 +19,7 @@ import heapq
 import os
 import re
 import unicodedata
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -38,6 +38,8 @@ QUADRATIC = 1 / CAPACITY
 BATCH = 1 << 22
 #: Words whose ids a worker remembers, words that are held of a text, words that are encoded at once.
 REMEMBERED, CHUNK, JOINED = 350_000, 1 << 18, 256
+#: Bytes of short texts whose words are learnt together.
+TOGETHER = 1 << 18
 
 
 #: Lower-case Latin letters, then ASCII punctuation: the tokenizer cuts such a word between the two.
@@ -49,7 +51,8 @@ class WordIds:
 
     The tokenizer drops white space and never merges across it, so a text's ids
     are those of its words. Words are encoded many at a time with a special
-    token between them, and remembered. Lower-casing A-Z beforehand changes
+    token between them, and remembered; when the memory is half full, only words
+    that occur again stay. Lower-casing A-Z beforehand changes
     nothing, as the tokenizer does so itself, unless that makes a special token
     or a character that composes otherwise; such texts are left as they are.
 
@@ -78,6 +81,28 @@ class WordIds:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.ids: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+
+    def of_all(self, texts: Iterable[bytes]) -> Iterator[list[bytes]]:
+        """The pieces of ``of`` for every text in turn; words of short texts are learnt together."""
+        group, size = [], 0
+        for text in texts:
+            if len(text) > TOGETHER:
+                yield from self.of_group(group)
+                group, size = [], 0
+                yield list(self.of(text))
+                continue
+            group.append(self.lowered(text).split())
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self.of_group(group)
+                group, size = [], 0
+        yield from self.of_group(group)
+
+    def of_group(self, group: list[list[bytes]]) -> Iterator[list[bytes]]:
+        self.prepare(set().union(*group))
+        for words in group:
+            yield [b"".join(map(self.ids.__getitem__, words))]
 
     def of(self, text: bytes) -> Iterator[bytes]:
         """The ids as little-endian unsigned 32-bit numbers, piece by piece."""
@@ -85,11 +110,22 @@ class WordIds:
         while rest:
             words = rest.split(None, CHUNK)
             rest = words.pop() if len(words) > CHUNK else b""
-            if len(self.ids) > REMEMBERED:
-                self.ids = {}
-            self.learn(set(words).difference(self.ids))
+            self.prepare(set(words))
             yield b"".join(map(self.ids.__getitem__, words))
 
+    def prepare(self, words: set[bytes]) -> None:
+        if len(self.ids) > REMEMBERED // 2:
+            self.ids, self.before = {}, self.ids
+        self.learn(self.recalled(words.difference(self.ids)))
+
+    def recalled(self, words: set[bytes]) -> set[bytes]:
+        """Take up again what was remembered before, and return the words that were not."""
+        new = words.difference(self.before)
+        if len(new) < len(words):
+            again = words - new
+            self.ids.update(zip(again, map(self.before.__getitem__, again)))
+        return new
+
     def lowered(self, text: bytes) -> bytes:
         low = text.lower()
         if text.isascii():
@@ -100,13 +136,18 @@ class WordIds:
         return low if same and b"<|" not in text else text
 
     def learn(self, words: set[bytes]) -> None:
-        letters = {w for w in words if w.isalpha() and w.islower()}
-        cut = {w: m.groups() for w in words - letters if (m := PLAIN.fullmatch(w))}
-        rest = words.difference(letters, cut)
-        letters.update(a for a, _ in cut.values())
-        rest.update(b for _, b in cut.values() if b)
-        self.learn_letters(list(letters.difference(self.ids)))
-        self.learn_any(list(rest.difference(self.ids)))
+        letters, cut, rest = [], {}, []
+        for word in words:
+            if word.isalpha() and word.islower():
+                letters.append(word)
+            elif made := PLAIN.fullmatch(word):
+                cut[word] = made.groups()
+            else:
+                rest.append(word)
+        starts = {a for a, _ in cut.values()}.difference(letters).difference(self.ids)
+        ends = {b for _, b in cut.values() if b}.difference(rest).difference(self.ids)
+        self.learn_letters([*letters, *self.recalled(starts)])
+        self.learn_any([*rest, *self.recalled(ends)])
         for word, (a, b) in cut.items():
             if b:
                 self.ids[word] = self.ids[a] + self.ids[b]
@@ -260,15 +301,16 @@ def pack(
 
         def pieces() -> Iterator[tuple]:
             for some in batches:
-                for doc_id, text in zip(some.column("doc_id"), some.column("text")):
-                    ids = [np.frombuffer(b, "<u4") for b in encode.of(text.as_py() or b"")]
+                texts = (text.as_py() or b"" for text in some.column("text"))
+                for doc_id, made in zip(some.column("doc_id"), encode.of_all(texts)):
+                    ids = [np.frombuffer(b, "<u4") for b in made]
                     yield from packer.add(doc_id.as_py(), np.concatenate([*ids, last]))
             yield from packer.finish()
 
         made: list[tuple] = []
         for piece in pieces():
             made.append(piece)
-            if len(made) >= 2000:
+            if len(made) >= 500:
                 yield _batch(made)
                 made = []
         if made:

@@ -98,3 +98,16 @@ def test_small_batches_give_whole_sequences_too(spark):
 
 def test_empty_table(spark):
     assert packing.pack(docs(spark, []), PATH).count() == 0
+
+
+def test_words_of_short_texts_are_learnt_together_and_forgotten_ones_again(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 12)
+    monkeypatch.setattr(packing, "TOGETHER", 60)
+    texts = ["", "one two, three!", "Ünïcode <|x one", " ", *[f"w{i} common words, {i}th don't" for i in range(30)]]
+    texts += ["long " + " ".join(f"t{i}x" for i in range(40)), "one two, three!", "<|endoftext|> a"]
+    words, batches = packing.WordIds(PATH), []
+    learn = words.learn
+    monkeypatch.setattr(words, "learn", lambda some: (batches.append(len(some)), learn(some)))
+    got = [b"".join(p) for p in words.of_all(t.encode() for t in texts)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in got] == [want_ids(t)[:-1].tolist() for t in texts]
+    assert len(batches) < len(texts)
