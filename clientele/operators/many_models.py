@@ -7,8 +7,9 @@ slot for each model:
 
 * boosted trees: a level of the current tree of every model is one sum of
   gradients and second derivatives by (model, node, input, bin), and the best
-  splits are chosen where a model's sum is. Margins are written with the blocks every few rounds and brought up to date from the
-  trees since, so that a lost executor costs no more than that;
+  splits are chosen where a model's sum is. A round's first level adds the last tree to the margins and holds them with
+  the rows' gradients for the levels after it; margins are written every few rounds, so that a lost executor costs no
+  more than that;
 * logistic regression: a Newton step of every model is one sum of Gram matrices
   and gradients.
 
@@ -19,8 +20,6 @@ with the rows.
 from __future__ import annotations
 
 import json
-import uuid
-from collections import OrderedDict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -43,8 +42,6 @@ REDUCERS = 4
 BINS, ACCURACY = 32, 10_000
 #: Rounds after which margins are written.
 WRITTEN = 10
-#: Blocks whose margins a worker remembers from one step to the next.
-REMEMBERED = 64
 TRAIN, TEST = 0, 1
 
 
@@ -320,9 +317,6 @@ def walk(bins: np.ndarray, feature: np.ndarray, bin_: np.ndarray, levels: int) -
     return at
 
 
-_MARGINS: OrderedDict[tuple, tuple[int, np.ndarray]] = OrderedDict()
-
-
 def margins(block: Block, base: np.ndarray, trees: tuple, depth: int) -> np.ndarray:
     """Margins of a block's rows for the models of its split, one row per model, after ``trees``."""
     if block.margin is None:
@@ -339,26 +333,6 @@ def grown(out: np.ndarray, block: Block, trees: tuple, depth: int) -> np.ndarray
     return out
 
 
-def remembered_margins(run: str, first: int, block: Block, base: np.ndarray, trees: tuple, depth: int) -> np.ndarray:
-    """The same, going on from what this worker has of the block, if anything.
-
-    ``trees`` begin with round ``first``, up to which the block's own margins
-    reach. Trees are added one after the other either way, so a worker that has
-    seen nothing comes to the same numbers.
-    """
-    place = (run, block.split, block.n, block.key[:1].tobytes())
-    now = first + len(trees[0])
-    seen, out = _MARGINS.pop(place, (-1, None))
-    if first <= seen <= now:
-        grown(out, block, tuple(t[seen - first :] for t in trees), depth)
-    else:
-        out = margins(block, base, trees, depth)
-    _MARGINS[place] = now, out
-    if len(_MARGINS) > REMEMBERED:
-        _MARGINS.popitem(last=False)
-    return out
-
-
 def sampled(key: np.ndarray, round_: int, share: float, seed: int) -> np.ndarray:
     """Which rows a round takes, by a hash of their key."""
     if share >= 1:
@@ -414,66 +388,90 @@ def boost(layout: Layout, settings: Boosting = Boosting()) -> list[Trees]:
     bin_ = np.full((settings.rounds, m, inner), bins - 1, np.int64)
     value = np.zeros((settings.rounds, m, leaves))
     gains = np.zeros((m, width))
-    rng, run = np.random.default_rng(settings.seed), uuid.uuid4().hex
+    rng = np.random.default_rng(settings.seed)
     stored, since = layout.bins, 0
-    blocks = Blocks(stored, layout.tasks, held=True)
+    blocks = Blocks(stored, layout.tasks)
+
+    def trees(first: int, last: int) -> tuple:
+        return feature[first:last].copy(), bin_[first:last].copy(), value[first:last].copy()
 
-    def written(trees: tuple) -> DataFrame:
+    def written(grown_since: tuple) -> DataFrame:
         def update(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 rows = batch.to_dict("records")
-                now = [margins(Block(r, keys, width), base, trees, depth).tobytes() for r in rows]
+                now = [margins(Block(r, keys, width), base, grown_since, depth).tobytes() for r in rows]
                 yield batch.assign(margin=now)
 
         return materialise(stored.mapInPandas(update, BINNED))
 
-    def level_splits(round_: int, level: int, trees: tuple, allowed: np.ndarray) -> dict[int, tuple]:
-        now_feature, now_bin, first = feature[round_], bin_[round_], since
-        # the first input gives the sums of whole nodes, allowed or not
-        taken = np.flatnonzero(allowed | (np.arange(width) == 0))
-        cells, cell = len(taken) * bins, np.arange(len(taken)) * bins
+    def begun(round_: int, last: tuple) -> Blocks:
+        """The blocks with margins after the ``last`` tree, and what the round's levels read: drawn rows, their g and h."""
 
-        def of(row) -> dict[int, np.ndarray]:
-            block, out = Block(row, keys, width), {}
-            margin = remembered_margins(run, first, block, base, trees, depth)
+        def of(row) -> dict:
+            block, drawn_of = Block(row, keys, width), {}
+            margin = margins(block, base, last, depth)
             drawn = sampled(block.key, round_, settings.subsample, settings.seed)
             for at, i in enumerate(block.models):
                 own = np.flatnonzero(block.training[at] & drawn)
-                y, f, b = block.label[own], margin[at, own], block.bins[own]
+                y, f = block.label[own], margin[at, own]
                 if logistic:
                     p, w = sigmoid(f), np.where(y > 0, weight[i], 1.0)
                     g, h = (p - y) * w, np.maximum(p * (1 - p), 1e-16) * w
                 else:
                     g, h = f - y, np.ones(len(own))
+                drawn_of[i] = own.astype(np.int32), g, h
+            return {**row, "margin": margin.tobytes(), "drawn": drawn_of}
+
+        return blocks.mapped(of)
+
+    def level_splits(round_: int, level: int, allowed: np.ndarray) -> dict[int, tuple]:
+        now_feature, now_bin = feature[round_], bin_[round_]
+        # the first input gives the sums of whole nodes, allowed or not
+        taken = np.flatnonzero(allowed | (np.arange(width) == 0))
+        # an input has as many cells as bins
+        cells = [len(layout.edges[c]) + 1 for c in taken]
+        ends = np.cumsum(cells)
+        columns = list(zip(taken.tolist(), cells, (ends - cells).tolist()))
+
+        def of(row) -> dict[int, np.ndarray]:
+            out, all_bins = {}, np.frombuffer(row["bins"], np.uint8).reshape(row["rows"], width)
+            for i, (own, g, h) in row["drawn"].items():
+                b = all_bins[own]
                 node = walk(b, now_feature[i], now_bin[i], level)
-                places = (node[:, None] * cells + cell + b[:, taken]).ravel()
-                out[i] = np.stack(
-                    [np.bincount(places, np.repeat(v, len(taken)), cells << level) for v in (g, h)]
-                ).reshape(2, 1, 1 << level, len(taken), bins)
+                out[i] = np.empty((2, 1 << level, ends[-1]))
+                for c, n, at in columns:
+                    places = node * n + b[:, c]
+                    for k, v in enumerate((g, h)):
+                        out[i][k, :, at : at + n] = np.bincount(places, v, n << level).reshape(-1, n)
             return out
 
         def choose(_: int, sums: np.ndarray) -> tuple:
-            f, *rest = splits_of(sums[0], sums[1], allowed[None, taken, None], settings)
+            even = np.zeros((2, 1, 1 << level, len(taken), bins))
+            for j, (_, n, at) in enumerate(columns):
+                even[:, 0, :, j, :n] = sums[:, :, at : at + n]
+            f, *rest = splits_of(even[0], even[1], allowed[None, taken, None], settings)
             return taken[f], *rest
 
         return blocks.chosen(of, choose, min(m, REDUCERS))
 
     for round_ in range(settings.rounds):
         if round_ - since == WRITTEN:
-            stored = written((feature[since:round_], bin_[since:round_], value[since:round_]))
+            stored = written(trees(since, round_))
             blocks.release()
-            blocks, since = Blocks(stored, layout.tasks, held=True), round_
-        trees = (feature[since:round_], bin_[since:round_], value[since:round_])
+            blocks, since = Blocks(stored, layout.tasks), round_
+        before, blocks = blocks, begun(round_, trees(max(since, round_ - 1), round_))
         allowed = np.zeros(width, bool)
         allowed[rng.permutation(width)[: max(1, round(settings.columns * width))]] = True
         for level in range(depth):
             nodes = slice((1 << level) - 1, (2 << level) - 1)
-            for i, (f, b, gain, left, right) in level_splits(round_, level, trees, allowed).items():
+            for i, (f, b, gain, left, right) in level_splits(round_, level, allowed).items():
                 feature[round_][i, nodes], bin_[round_][i, nodes] = f[0], b[0]
                 np.add.at(gains[i], f[0], gain[0])
                 if level == depth - 1:
                     for side, (g, h) in enumerate((left, right)):
                         value[round_][i, side::2] = (-settings.rate * g / (h + settings.ridge))[0]
+            if level == 0:
+                before.release()
     blocks.release()
     return [
         Trees(

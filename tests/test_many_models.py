@@ -286,3 +286,32 @@ def test_comparison_measures_every_fold_and_split(spark, rows):
         alone = models.evaluate(out.models[name, split], test).first()
         assert (r.roc_auc, r.f1, r.accuracy) == (alone.roc_auc, alone.f1, alone.accuracy)
         assert 0.5 < r.cv_auc_mean < 1 and r.cv_auc_std >= 0
+
+
+def test_a_round_prepares_its_blocks_once_for_all_levels(spark, layout):
+    calls = spark.sparkContext.accumulator(0)
+
+    def of(row):
+        calls.add(1)
+        return {**row, "ones": np.ones(row["rows"])}
+
+    blocks = sums.Blocks(layout.bins, layout.tasks).mapped(of)
+    rows = [blocks.summed(lambda row: np.array([row["ones"].sum()]))[0] for _ in range(3)]
+    blocks.release()
+    assert rows == [layout.blocks.agg({"rows": "sum"}).first()[0]] * 3
+    assert calls.value == layout.blocks.count()
+
+
+def test_tasks_hand_on_no_cells_that_an_input_has_no_bins_for(layout, monkeypatch):
+    seen, chosen = [], sums.Blocks.chosen
+
+    def noted(self, of, choose, reducers):
+        row = self.partitions.first()
+        seen.append((of(row), len(row["drawn"])))
+        return chosen(self, of, choose, reducers)
+
+    monkeypatch.setattr(sums.Blocks, "chosen", noted)
+    many_models.boost(layout, Boosting(rounds=1, depth=2, columns=1.0))
+    cells = sum(len(e) + 1 for e in layout.edges)
+    assert [{a.shape for a in out.values()} for out, _ in seen] == [{(2, 1, cells)}, {(2, 2, cells)}]
+    assert all(len(out) == models for out, models in seen)
