@@ -36,6 +36,8 @@ from clientele.sources.scratch import materialise
 BLOCK, PARTITION = 4_096, 16_384
 #: Partitions beyond which they grow instead, and their rows at most.
 PARTITIONS, LARGEST = 64, 131_072
+#: Tasks of a boosting level beyond which they take several partitions each, up to ``LARGEST`` rows.
+LEVEL_TASKS = 12
 #: Tasks that complete the sums of a level.
 REDUCERS = 4
 #: Bins of an input, and the accuracy of the sketch that places their edges.
@@ -98,6 +100,7 @@ class Layout:
     inputs: list[str]
     edges: list[np.ndarray]
     keys: list[Key]
+    rows: int = 0
 
     @property
     def width(self) -> int:
@@ -113,6 +116,20 @@ class Layout:
         """Blocks with the inputs' bins."""
         return self.blocks.drop("x")
 
+    @property
+    def level_tasks(self) -> int:
+        """Partitions that a boosting level reads: a level is short, and every task costs it a start."""
+        return min(self.tasks, max(LEVEL_TASKS, -(-self.rows // LARGEST)))
+
+    def gathered(self) -> DataFrame:
+        """``bins`` in ``level_tasks`` partitions, neighbours together and in order, so that sums are the same in every run."""
+        if self.level_tasks == self.tasks:
+            return self.bins
+        group = F.floor(F.spark_partition_id() * self.level_tasks / F.lit(self.tasks)).cast("int")
+        placed = self.bins.withColumns({"_group": group, "_place": F.monotonically_increasing_id()})
+        together = placed.repartitionById(self.level_tasks, "_group").sortWithinPartitions("_place")
+        return materialise(together.drop("_group", "_place"))
+
 
 SCHEMA = "split int, rows int, key binary, x binary, bins binary, label binary, role binary, fold binary, margin binary"
 BINNED = SCHEMA.replace("x binary, ", "")
@@ -140,7 +157,8 @@ def lay_out(rows: DataFrame, inputs: Sequence[str], keys: Sequence[Key], id_colu
         )
     )
     edges = bin_edges(kept, inputs)
-    tasks = partitions(kept.count())
+    count = kept.count()
+    tasks = partitions(count)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -164,7 +182,7 @@ def lay_out(rows: DataFrame, inputs: Sequence[str], keys: Sequence[Key], id_colu
 
     # the hash deals equal shares; a fixed number of partitions keeps sums the same in every run
     placed = kept.repartition(tasks, F.xxhash64("key")).sortWithinPartitions("split", "key")
-    return Layout(materialise(placed.mapInPandas(pack, SCHEMA)), tasks, inputs, edges, keys)
+    return Layout(materialise(placed.mapInPandas(pack, SCHEMA)), tasks, inputs, edges, keys, count)
 
 
 class Block:
@@ -310,10 +328,17 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 def walk(bins: np.ndarray, feature: np.ndarray, bin_: np.ndarray, levels: int) -> np.ndarray:
     """The node on level ``levels`` that each row comes to, counted from the level's left."""
-    at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
-    for level in range(levels):
-        node = at + (1 << level) - 1
-        at = 2 * at + (bins[rows, feature[node]] > bin_[node])
+    at = np.zeros(len(bins), np.int64)
+    if levels:
+        at += bins[:, feature[0]] > bin_[0]
+    flat, first = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
+    for level in range(1, levels):
+        nodes = slice((1 << level) - 1, (2 << level) - 1)
+        split = bin_[nodes].take(at)
+        place = feature[nodes].take(at)
+        place += first
+        at *= 2
+        at += flat.take(place) > split
     return at
 
 
@@ -389,8 +414,8 @@ def boost(layout: Layout, settings: Boosting = Boosting()) -> list[Trees]:
     value = np.zeros((settings.rounds, m, leaves))
     gains = np.zeros((m, width))
     rng = np.random.default_rng(settings.seed)
-    stored, since = layout.bins, 0
-    blocks = Blocks(stored, layout.tasks)
+    stored, tasks, since = layout.gathered(), layout.level_tasks, 0
+    blocks = Blocks(stored, tasks)
 
     def trees(first: int, last: int) -> tuple:
         return feature[first:last].copy(), bin_[first:last].copy(), value[first:last].copy()
@@ -436,11 +461,12 @@ def boost(layout: Layout, settings: Boosting = Boosting()) -> list[Trees]:
         def of(row) -> dict[int, np.ndarray]:
             out, all_bins = {}, np.frombuffer(row["bins"], np.uint8).reshape(row["rows"], width)
             for i, (own, g, h) in row["drawn"].items():
-                b = all_bins[own]
+                b = all_bins.take(own, axis=0)
                 node = walk(b, now_feature[i], now_bin[i], level)
-                out[i] = np.empty((2, 1 << level, ends[-1]))
+                out[i], by_input = np.empty((2, 1 << level, ends[-1])), np.ascontiguousarray(b.T)
                 for c, n, at in columns:
-                    places = node * n + b[:, c]
+                    places = node * n
+                    places += by_input[c]
                     for k, v in enumerate((g, h)):
                         out[i][k, :, at : at + n] = np.bincount(places, v, n << level).reshape(-1, n)
             return out
@@ -458,7 +484,7 @@ def boost(layout: Layout, settings: Boosting = Boosting()) -> list[Trees]:
         if round_ - since == WRITTEN:
             stored = written(trees(since, round_))
             blocks.release()
-            blocks, since = Blocks(stored, layout.tasks), round_
+            blocks, since = Blocks(stored, tasks), round_
         before, blocks = blocks, begun(round_, trees(max(since, round_ - 1), round_))
         allowed = np.zeros(width, bool)
         allowed[rng.permutation(width)[: max(1, round(settings.columns * width))]] = True

@@ -315,3 +315,25 @@ def test_tasks_hand_on_no_cells_that_an_input_has_no_bins_for(layout, monkeypatc
     cells = sum(len(e) + 1 for e in layout.edges)
     assert [{a.shape for a in out.values()} for out, _ in seen] == [{(2, 1, cells)}, {(2, 2, cells)}]
     assert all(len(out) == models for out, models in seen)
+
+
+def test_levels_read_few_partitions_in_the_same_order(rows, monkeypatch):
+    monkeypatch.setattr(many_models, "PARTITION", 40)
+    settings = Boosting(rounds=2, depth=2)
+    layout = many_models.lay_out(rows, INPUTS, KEYS)
+    before = many_models.boost(layout, settings)
+    tasks, chosen = [], sums.Blocks.chosen
+
+    def noted(self, of, choose, reducers):
+        tasks.append((self.tasks, self.partitions.getNumPartitions()))
+        return chosen(self, of, choose, reducers)
+
+    monkeypatch.setattr(sums.Blocks, "chosen", noted)
+    monkeypatch.setattr(many_models, "LEVEL_TASKS", 5, raising=False)
+    after = many_models.boost(layout, settings)
+    assert (layout.tasks, set(tasks)) == (23, {(5, 5)})
+    assert all((a.feature == b.feature).all() and np.allclose(a.value, b.value) for a, b in zip(before, after))
+    keys = lambda df: [bytes(r.key) for r in df.select("key").collect()]
+    assert keys(layout.gathered()) == keys(layout.blocks)
+    monkeypatch.setattr(many_models, "LARGEST", 100)
+    assert layout.level_tasks == 9
