@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
+from threading import Semaphore
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -267,21 +268,36 @@ def _tagged(splits: Sequence[tuple[DataFrame, DataFrame | None]], settings: Sett
     return materialise(reduce(DataFrame.unionByName, [p.select(*columns) for p in parts]))
 
 
+def _seen(rows: DataFrame, key: Key) -> DataFrame:
+    """The rows that a forest is fitted on; trees draw them by partition and place, and both follow from the ids alone."""
+    own = rows.where((F.col("split") == key.split) & (F.col("role") == TRAIN))
+    seen = own if key.fold is None else own.where(F.col("fold") != key.fold)
+    return seen.repartition("customer_id").sortWithinPartitions("customer_id")
+
+
+def _beside(rows: DataFrame, keys: Sequence[Key], settings: Settings) -> int:
+    """How many forests leave about half of the cores to the short jobs of other models.
+
+    A forest's tasks take seconds, and a job that comes later waits for one of them to end.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, materialise(_seen(rows, keys[0])).rdd.getNumPartitions())
+    return max(1, min(settings.parallelism, (cores // 2 + tasks // 2) // tasks))
+
+
 def _fit_forests(
-    rows: DataFrame, keys: Sequence[Key], settings: Settings
+    rows: DataFrame, keys: Sequence[Key], settings: Settings, gate: Semaphore
 ) -> tuple[dict[Key, PipelineModel], DataFrame]:
-    """One forest per key, several at a time, and what each says of the rows it did not see."""
+    """One forest per key, as many at a time as ``gate`` lets in, and what each says of the rows it did not see."""
 
     def one(key: Key) -> tuple[PipelineModel, DataFrame]:
         own = rows.where(F.col("split") == key.split)
-        training = own.where(F.col("role") == TRAIN)
         if key.fold is None:
-            seen, unseen = training, own.where(F.col("role") == TEST)
+            unseen = own.where(F.col("role") == TEST)
         else:
-            seen, unseen = training.where(F.col("fold") != key.fold), training.where(F.col("fold") == key.fold)
-        # trees draw rows by partition and place; both follow from the ids alone
-        placed = seen.repartition("customer_id").sortWithinPartitions("customer_id")
-        model = fit(forest(settings), placed)
+            unseen = own.where((F.col("role") == TRAIN) & (F.col("fold") == key.fold))
+        with gate:
+            model = fit(forest(settings), _seen(rows, key))
         return model, model.transform(unseen).select(
             F.lit(FOREST).alias("model"),
             "split",
@@ -330,12 +346,18 @@ def _measure(
         return own, many_models.held_out_scores(layout, fitted, name)
 
     with ThreadPoolExecutor(1) as beside:
-        forests = None
+        forests, few = None, settings.parallelism
         if FOREST in names:
+            few = _beside(rows, keys, settings)
+            gate = Semaphore(few)
             forests = beside.submit(
-                inheritable_thread_target(rows.sparkSession)(_fit_forests), rows, keys, settings
+                inheritable_thread_target(rows.sparkSession)(_fit_forests), rows, keys, settings, gate
             )
-        found = {name: stepwise(name) for name in names if name != FOREST}
+        try:
+            found = {name: stepwise(name) for name in names if name != FOREST}
+        finally:
+            if few < settings.parallelism:
+                gate.release(settings.parallelism - few)
         if forests is not None:
             found[FOREST] = forests.result()
     models = {(name, k): m for name, (own, _) in found.items() for k, m in own.items()}

@@ -1,14 +1,20 @@
 """Models grown together against models grown alone, and against plain numpy."""
 
 import math
+import os
 import pickle
 import random
+import socket
+import stat
+import threading
+import time
 
 import numpy as np
 import pytest
 from pyspark import RDD
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from clientele.functions import sums
@@ -337,3 +343,69 @@ def test_levels_read_few_partitions_in_the_same_order(rows, monkeypatch):
     assert keys(layout.gathered()) == keys(layout.blocks)
     monkeypatch.setattr(many_models, "LARGEST", 100)
     assert layout.level_tasks == 9
+
+
+def test_every_step_acknowledges_its_input_at_once(spark):
+    def quick():
+        found = []
+        for name in os.listdir("/proc/self/fd"):
+            try:
+                if stat.S_ISSOCK(os.fstat(int(name)).st_mode):
+                    with socket.socket(fileno=os.dup(int(name))) as connection:
+                        found.append(connection.getsockopt(socket.IPPROTO_TCP, socket.TCP_QUICKACK))
+            except OSError:
+                continue
+        return float(bool(found) and all(found))
+
+    blocks = sums.Blocks(spark.sparkContext.parallelize([{"n": i} for i in range(12)], 4), 4)
+    for _ in range(3):  # workers are used again
+        assert blocks.summed(lambda row: np.array([quick()])) == [12]
+        chosen = blocks.chosen(lambda row: {0: np.array([quick()]), 1: np.array([quick()])}, lambda key, sum_: (sum_[0], quick()), 2)
+        assert chosen == {0: (12, 1), 1: (12, 1)}
+        held = blocks.mapped(lambda row: row | {"quick": quick()})
+        assert held.summed(lambda row: np.array([row["quick"]])) == [12]
+        held.release()
+
+
+def test_sums_are_dealt_once_and_added_in_the_order_of_the_tasks(spark):
+    blocks = sums.Blocks(spark.sparkContext.parallelize([{"n": i} for i in range(40)], 8), 8)
+    parts = [np.array([0.1 * i, 1e16, -1e16 + i]) for i in range(40)]
+    expected = None
+    for task in range(8):
+        own = sum(parts[task * 5 + 1 : task * 5 + 5], parts[task * 5])
+        expected = own if expected is None else expected + own
+    for _ in range(2):
+        found = blocks.chosen(lambda row: {k: parts[row["n"]] for k in range(5)}, lambda key, sum_: sum_, 2)
+        assert sorted(found) == list(range(5))
+        assert all((v == expected).all() for v in found.values())
+
+
+def test_forests_leave_cores_to_the_levels_beside_them(rows, monkeypatch):
+    now, peak, lock = [0], [0], threading.Lock()
+
+    class Half:
+        def transform(self, df):
+            return df.withColumn("probability", array_to_vector(F.array(F.lit(0.5), F.lit(0.5))))
+
+    def fit(estimator, train):
+        with lock:
+            now[0] += 1
+            peak[0] = max(peak[0], now[0])
+        time.sleep(0.3)
+        with lock:
+            now[0] -= 1
+        return Half()
+
+    monkeypatch.setattr(models, "fit", fit)
+    settings, cores = models.Settings(), rows.sparkSession.sparkContext.defaultParallelism
+    tasks = models._seen(rows, KEYS[0]).checkpoint().rdd.getNumPartitions()
+    few = models._beside(rows, KEYS, settings)
+    assert 1 <= few <= settings.parallelism and (few == 1 or few * tasks <= cores // 2 + tasks // 2)
+    found, said = models._fit_forests(rows, KEYS, settings, threading.Semaphore(1))
+    assert peak == [1] and list(found) == KEYS
+    for key in KEYS:
+        train, unseen = own(rows, key)
+        seen = models._seen(rows, key)
+        assert sorted(r.customer_id for r in seen.collect()) == sorted(r.customer_id for r in train.collect())
+        fold = F.col("fold").isNull() if key.fold is None else F.col("fold") == key.fold
+        assert said.where((F.col("split") == key.split) & fold).count() == unseen.count()
