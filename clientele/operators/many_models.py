@@ -20,16 +20,17 @@ with the rows.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from functools import cached_property
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.functions.sums import Blocks
+from clientele.functions.sums import Blocks, Kept, settle
 from clientele.sources.scratch import materialise
 
 #: Rows of a block and of a partition of blocks.
@@ -42,6 +43,8 @@ LEVEL_TASKS = 5
 REDUCERS = 2
 #: Bins of an input, and the accuracy of the sketch that places their edges.
 BINS, ACCURACY = 32, 10_000
+#: Training rows of a model that a task holds at most: some 20 bytes each, and what a level makes of them.
+WHOLE = 1 << 20
 #: Rounds after which margins are written.
 WRITTEN = 10
 TRAIN, TEST = 0, 1
@@ -260,7 +263,7 @@ class Trees:
         return list(zip(self.inputs, (self.gain / total).tolist()))
 
     def column(self) -> Column:
-        return _predicted(self, self.inputs)
+        return predicted(self, self.inputs)
 
     def to_json(self) -> str:
         arrays = {k: getattr(self, k).tolist() for k in ("feature", "bin", "value", "gain")}
@@ -288,7 +291,7 @@ class Linear:
         return sigmoid(self.standardised(x) @ self.weights + self.intercept)
 
     def column(self) -> Column:
-        return _predicted(self, self.inputs)
+        return predicted(self, self.inputs)
 
     def to_json(self) -> str:
         arrays = {k: getattr(self, k).tolist() for k in ("mean", "deviation", "weights")}
@@ -297,7 +300,12 @@ class Linear:
 
 def from_json(text: str) -> Trees | Linear:
     value = json.loads(text)
-    if value.pop("kind") == "linear":
+    kind = value.pop("kind")
+    if kind == "forest":
+        from clientele.operators.forests import Forest  # which needs this module
+
+        return Forest.of(value)
+    if kind == "linear":
         arrays = {k: np.array(value.pop(k), float) for k in ("mean", "deviation", "weights")}
         return Linear(**value, **arrays)
     edges = [np.array(e, float) for e in value.pop("edges")]
@@ -314,7 +322,7 @@ def load_fitted(spark: SparkSession, path: str) -> Trees | Linear:
     return from_json(spark.read.parquet(path).first()[0])
 
 
-def _predicted(model: Trees | Linear, inputs: Sequence[str]) -> Column:
+def predicted(model: Trees | Linear, inputs: Sequence[str]) -> Column:
     @F.pandas_udf("double")
     def predict(rows: pd.DataFrame) -> pd.Series:
         return pd.Series(model.predict(rows.to_numpy(np.float64)))
@@ -362,12 +370,17 @@ def sampled(key: np.ndarray, round_: int, share: float, seed: int) -> np.ndarray
     """Which rows a round takes, by a hash of their key."""
     if share >= 1:
         return np.ones(len(key), bool)
+    return uniform(key, round_, seed) < share
+
+
+def uniform(key: np.ndarray, round_: int, seed: int) -> np.ndarray:
+    """Numbers from 0 to below 1, by a hash of key and round."""
     with np.errstate(over="ignore"):
         z = key.astype(np.uint64) + np.uint64((seed * 1_000_003 + round_ + 1) & 0xFFFFFFFF) * np.uint64(0x9E3779B97F4A7C15)
         z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         z = z ^ (z >> np.uint64(31))
-    return (z >> np.uint64(11)).astype(np.float64) * 2.0**-53 < share
+    return (z >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
 
 def splits_of(g: np.ndarray, h: np.ndarray, allowed: np.ndarray, settings: Boosting):
@@ -395,6 +408,15 @@ def splits_of(g: np.ndarray, h: np.ndarray, allowed: np.ndarray, settings: Boost
     return feature, bin_, np.where(splits, top, 0.0), (lg, lh), (whole_g - lg, whole_h - lh)
 
 
+def _start(sizes: np.ndarray, settings: Boosting) -> tuple[np.ndarray, np.ndarray]:
+    """What positive rows of every model weigh, and its first margin."""
+    negative, positive = sizes[:, 0] - sizes[:, 1], sizes[:, 1]
+    if settings.loss != "logistic":
+        return np.ones(len(sizes)), positive / np.maximum(sizes[:, 0], 1)
+    weight = np.where((positive > 0) & (negative > 0), negative / np.maximum(positive, 1), 1.0)
+    return weight, np.zeros(len(sizes))
+
+
 def boost(layout: Layout, settings: Boosting = Boosting()) -> list[Trees]:
     """Boosted trees for every model of the layout, a level of all of them per job.
 
@@ -402,33 +424,119 @@ def boost(layout: Layout, settings: Boosting = Boosting()) -> list[Trees]:
     model's own training rows. A model without training rows, or with one class
     alone, has trees without splits.
     """
-    keys, width, depth, bins = layout.keys, layout.width, settings.depth, max(len(e) for e in layout.edges) + 1
-    m, logistic = len(keys), settings.loss == "logistic"
+    keys, width, depth = layout.keys, layout.width, settings.depth
+    weight, base = _start(class_sizes(layout), settings)
+    stored, tasks = layout.gathered(), layout.level_tasks
+
+    def written(stored: DataFrame, grown_since: tuple) -> DataFrame:
+        def update(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                rows = batch.to_dict("records")
+                now = [margins(Block(r, keys, width), base, grown_since, depth).tobytes() for r in rows]
+                yield batch.assign(margin=now)
+
+        return materialise(stored.mapInPandas(update, BINNED))
+
+    def again(grown_since: tuple) -> Blocks:
+        nonlocal stored
+        stored = written(stored, grown_since)
+        return Blocks(stored, tasks)
+
+    grown_trees = _rounds(Blocks(stored, tasks), keys, layout.edges, weight, base, settings, again)
+    return _trees(layout, base, settings, *grown_trees)
+
+
+def boost_apart(layout: Layout, settings: Boosting = Boosting()) -> list[Trees]:
+    """The trees of ``boost``, to the bit, every model in a task of its own while that holds its training rows.
+
+    Its rounds and levels then follow each other within the task, and the models run beside
+    each other. Models of more than ``WHOLE`` rows grow over all blocks, by ``boost``.
+    """
+    keys, width, edges = layout.keys, layout.width, layout.edges
     sizes = class_sizes(layout)
-    negative, positive = sizes[:, 0] - sizes[:, 1], sizes[:, 1]
-    weight = np.where((positive > 0) & (negative > 0), negative / np.maximum(positive, 1), 1.0) if logistic else np.ones(m)
-    base = np.zeros(m) if logistic else positive / np.maximum(sizes[:, 0], 1)
+    weight, base = _start(sizes, settings)
+    whole = [i for i in np.argsort(-sizes[:, 0], kind="stable").tolist() if 0 < sizes[i, 0] <= WHOLE]
+    tasks, levels, place_of = layout.tasks, layout.level_tasks, {i: at for at, i in enumerate(whole)}
+
+    def dealt(index: int, rows: Iterator) -> Iterator[tuple[tuple[int, int, int], Mapping]]:
+        for place, row in enumerate(rows):
+            block = Block(row.asDict(), keys, width)
+            for at, i in enumerate(block.models):
+                if i in place_of and block.training[at].any():
+                    yield (i, index, place), trained(block, block.training[at])
+
+    def grow(rows: Iterator) -> Iterator[tuple]:
+        settle()
+        for i, own in groupby(rows, lambda r: r[0][0]):
+            # as the tasks of a level would hold them
+            parts = [[row for _, row in part] for _, part in groupby(own, lambda r: r[0][1] * levels // tasks)]
+            key = [Key(keys[i].split)]
+            yield i, _rounds(Kept(parts), key, edges, weight[[i]], base[[i]], settings)
+
+    # without rows there is nothing to split
+    bare = [i for i in range(len(keys)) if not sizes[i, 0]]
+    found = {i: _trees(layout, base[[i]], settings, *_rounds(Kept([]), [keys[i]], edges, weight[[i]], base[[i]], settings))[0] for i in bare}
+    if whole:
+        apart = layout.bins.rdd.mapPartitionsWithIndex(dealt)
+        apart = apart.repartitionAndSortWithinPartitions(len(whole), lambda k: place_of[k[0]])
+        for i, grown_trees in apart.mapPartitions(grow).collect():
+            found |= {i: _trees(layout, base[[i]], settings, *grown_trees)[0]}
+    rest = [i for i in range(len(keys)) if i not in found]
+    if rest:
+        found |= dict(zip(rest, boost(replace(layout, keys=[keys[i] for i in rest]), settings)))
+    return [found[i] for i in range(len(keys))]
+
+
+def trained(block: Block, own: np.ndarray) -> dict:
+    """The rows ``own`` of a block as a block of training rows alone."""
+    n = int(own.sum())
+    return {
+        "split": block.split,
+        "rows": n,
+        "key": block.key[own].tobytes(),
+        "bins": block.bins[own].tobytes(),
+        "label": block.label[own].tobytes(),
+        "role": np.full(n, TRAIN, np.int8).tobytes(),
+        "fold": np.full(n, -1, np.int8).tobytes(),
+    }
+
+
+def _trees(layout: Layout, base: np.ndarray, settings: Boosting, feature, bin_, value, gains) -> list[Trees]:
+    return [
+        Trees(
+            float(base[i]), layout.inputs, layout.edges, settings.depth, feature[:, i].copy(), bin_[:, i].copy(),
+            value[:, i].copy(), gains[i], settings.loss,
+        )
+        for i in range(len(base))
+    ]
+
+
+def _rounds(
+    blocks: Blocks | Kept,
+    keys: Sequence[Key],
+    edges: Sequence[np.ndarray],
+    weight: np.ndarray,
+    base: np.ndarray,
+    settings: Boosting,
+    again: Callable[[tuple], Blocks] | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Input, bin and value of every (round, model, node), and the gains of every (model, input).
+
+    ``again`` stores margins and returns the blocks with them, every ``WRITTEN`` rounds.
+    """
+    width, depth, bins, m = len(edges), settings.depth, max(len(e) for e in edges) + 1, len(keys)
+    logistic = settings.loss == "logistic"
     inner, leaves = (1 << depth) - 1, 1 << depth
     feature = np.zeros((settings.rounds, m, inner), np.int64)
     bin_ = np.full((settings.rounds, m, inner), bins - 1, np.int64)
     value = np.zeros((settings.rounds, m, leaves))
     gains = np.zeros((m, width))
     rng = np.random.default_rng(settings.seed)
-    stored, tasks, since = layout.gathered(), layout.level_tasks, 0
-    blocks = Blocks(stored, tasks)
+    since = 0
 
     def trees(first: int, last: int) -> tuple:
         return feature[first:last].copy(), bin_[first:last].copy(), value[first:last].copy()
 
-    def written(grown_since: tuple) -> DataFrame:
-        def update(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                rows = batch.to_dict("records")
-                now = [margins(Block(r, keys, width), base, grown_since, depth).tobytes() for r in rows]
-                yield batch.assign(margin=now)
-
-        return materialise(stored.mapInPandas(update, BINNED))
-
     def begun(round_: int, last: tuple) -> Blocks:
         """The blocks with margins after the ``last`` tree, and what the round's levels read: drawn rows, their g and h."""
 
@@ -454,7 +562,7 @@ def boost(layout: Layout, settings: Boosting = Boosting()) -> list[Trees]:
         # the first input gives the sums of whole nodes, allowed or not
         taken = np.flatnonzero(allowed | (np.arange(width) == 0))
         # an input has as many cells as bins
-        cells = [len(layout.edges[c]) + 1 for c in taken]
+        cells = [len(edges[c]) + 1 for c in taken]
         ends = np.cumsum(cells)
         columns = list(zip(taken.tolist(), cells, (ends - cells).tolist()))
 
@@ -481,10 +589,10 @@ def boost(layout: Layout, settings: Boosting = Boosting()) -> list[Trees]:
         return blocks.chosen(of, choose, min(m, REDUCERS))
 
     for round_ in range(settings.rounds):
-        if round_ - since == WRITTEN:
-            stored = written(trees(since, round_))
+        if again is not None and round_ - since == WRITTEN:
+            stored = again(trees(since, round_))
             blocks.release()
-            blocks, since = Blocks(stored, tasks), round_
+            blocks, since = stored, round_
         before, blocks = blocks, begun(round_, trees(max(since, round_ - 1), round_))
         allowed = np.zeros(width, bool)
         allowed[rng.permutation(width)[: max(1, round(settings.columns * width))]] = True
@@ -499,13 +607,7 @@ def boost(layout: Layout, settings: Boosting = Boosting()) -> list[Trees]:
             if level == 0:
                 before.release()
     blocks.release()
-    return [
-        Trees(
-            float(base[i]), layout.inputs, layout.edges, depth, feature[:, i].copy(), bin_[:, i].copy(),
-            value[:, i].copy(), gains[i], settings.loss,
-        )
-        for i in range(m)
-    ]
+    return feature, bin_, value, gains
 
 
 # --- logistic regression -----------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from threading import Semaphore
 
@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 
 from clientele.functions.numeric import rounded
 from clientele.functions.ordering import add_row_number
-from clientele.operators import many_models
+from clientele.operators import forests, many_models
 from clientele.operators.churn import risk_segment
 from clientele.operators.features import add_folds, with_class_weight
+from clientele.operators.forests import Forest, Growing
 from clientele.operators.many_models import TEST, TRAIN, Boosting, Key, Linear, Trees
 from clientele.operators.scoring import confusion_metrics, roc_areas, roc_auc
 from clientele.sources.scratch import materialise
@@ -199,12 +200,25 @@ def indexer(settings: Settings, rows: DataFrame) -> PipelineModel:
     return Pipeline(stages=stages).fit(rows)
 
 
+def label_bins(indices: PipelineModel) -> dict[str, int]:
+    """The inputs that are label indices, with how many values each has, unknown labels' among them."""
+    return {
+        column: len(labels) + 1
+        for stage in indices.stages
+        for column, labels in zip(stage.getOutputCols(), stage.labelsArray)
+    }
+
+
+def forest_sizes(settings: Settings) -> Growing:
+    return Growing(settings.trees, settings.tree_depth, settings.leaf_size, SEED)
+
+
 @dataclass(frozen=True)
 class Fitted:
-    """A model of ``many_models`` with the label indices it was fitted on."""
+    """A model of ``many_models`` or ``forests`` with the label indices it was fitted on."""
 
     indices: PipelineModel
-    model: Trees | Linear
+    model: Trees | Linear | Forest
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``probability`` as a vector of both classes."""
@@ -328,38 +342,50 @@ def _measure(
 ) -> Measured:
     """Fit ``names`` for all keys together and measure each on the rows that it did not see.
 
-    Inputs are encoded once. The linear and the boosted models of all keys grow
-    in the same jobs, forests beside them on the cores that these leave; all
+    Inputs are encoded once. The linear models of all keys grow in the same jobs. A boosted
+    model, or some trees of a forest, grow in a task that holds the model's rows, all beside
+    each other. For models of more rows than that, boosted ones grow in the same jobs
+    and Spark's forests beside them on the cores that these leave. All
     areas and confusion metrics are one grouped aggregate each.
     """
     rows = _tagged(splits, settings, any(k.fold is not None for k in keys))
     indexed = indexer(settings, rows)
     layout = many_models.lay_out(indexed.transform(rows), input_names(settings), keys)
     sizes = many_models.class_sizes(layout)
+    large = [k for k, s in zip(keys, sizes) if s[0] > many_models.WHOLE]
 
     def stepwise(name: str) -> tuple[dict[Key, Fitted], DataFrame]:
         if name == LOGISTIC:
             fitted = many_models.logistic(layout, settings.ridge, settings.logistic_iterations)
         else:
-            fitted = many_models.boost(layout, boosted(settings).sizes())
+            fitted = many_models.boost_apart(layout, boosted(settings).sizes())
         own = {k: Fitted(indexed, m) for k, m in zip(keys, fitted)}
         return own, many_models.held_out_scores(layout, fitted, name)
 
+    def trees_of() -> tuple[dict[Key, PipelineModel | Fitted], DataFrame]:
+        small = replace(layout, keys=[k for k in keys if k not in large])
+        grown = forests.forests(small, forest_sizes(settings), label_bins(indexed))
+        own = {k: Fitted(indexed, m) for k, m in zip(small.keys, grown)}
+        said = many_models.held_out_scores(small, grown, FOREST)
+        if large:
+            more, also = _fit_forests(rows, large, settings, gate)
+            own, said = own | more, said.unionByName(also)
+        return own, said
+
+    # its jobs are short, and would wait for the tasks of the others
+    found = {name: stepwise(name) for name in names if name == LOGISTIC}
     with ThreadPoolExecutor(1) as beside:
-        forests, few = None, settings.parallelism
+        few = _beside(rows, keys, settings) if large and FOREST in names else settings.parallelism
+        gate, trees = Semaphore(few), None
         if FOREST in names:
-            few = _beside(rows, keys, settings)
-            gate = Semaphore(few)
-            forests = beside.submit(
-                inheritable_thread_target(rows.sparkSession)(_fit_forests), rows, keys, settings, gate
-            )
+            trees = beside.submit(inheritable_thread_target(rows.sparkSession)(trees_of))
         try:
-            found = {name: stepwise(name) for name in names if name != FOREST}
+            found |= {name: stepwise(name) for name in names if name not in (LOGISTIC, FOREST)}
         finally:
             if few < settings.parallelism:
                 gate.release(settings.parallelism - few)
-        if forests is not None:
-            found[FOREST] = forests.result()
+        if trees is not None:
+            found[FOREST] = trees.result()
     models = {(name, k): m for name, (own, _) in found.items() for k, m in own.items()}
     scores = [said for _, said in found.values()]
     by = ["model", "split", "fold"]
