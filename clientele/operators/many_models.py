@@ -35,6 +35,8 @@ from clientele.sources.scratch import materialise
 
 #: Rows of a block and of a partition of blocks.
 BLOCK, PARTITION = 4_096, 16_384
+#: Rows of a block where many steps over all rows follow within a task, each of which costs a block its calls.
+JOINED = 16_384
 #: Partitions beyond which they grow instead, and their rows at most.
 PARTITIONS, LARGEST = 64, 131_072
 #: Tasks of a boosting level beyond which they take several partitions each, up to ``LARGEST`` rows.
@@ -143,10 +145,25 @@ def partitions(rows: int) -> int:
     return max(1, min(-(-rows // PARTITION), max(PARTITIONS, -(-rows // LARGEST))))
 
 
-def lay_out(rows: DataFrame, inputs: Sequence[str], keys: Sequence[Key], id_column: str = "customer_id") -> Layout:
+def neighbours(pieces: Iterator[dict], most: int) -> Iterator[list[dict]]:
+    """Pieces that follow each other in one split and have ``most`` rows together; a larger piece is by itself."""
+    held: list[dict] = []
+    for piece in pieces:
+        if held and (held[0]["split"] != piece["split"] or sum(p["rows"] for p in held) + piece["rows"] > most):
+            yield held
+            held = []
+        held.append(piece)
+    if held:
+        yield held
+
+
+def lay_out(
+    rows: DataFrame, inputs: Sequence[str], keys: Sequence[Key], id_column: str = "customer_id", joined: int = 0
+) -> Layout:
     """Blocks of ``rows``, which have ``split`` (number), ``role``, ``fold``, ``label`` and ``inputs``.
 
-    A row that belongs to several splits is there once for each.
+    A row that belongs to several splits is there once for each. Blocks of a partition are
+    brought together up to ``joined`` rows.
     """
     inputs, keys = list(inputs), list(keys)
     kept = materialise(
@@ -163,25 +180,27 @@ def lay_out(rows: DataFrame, inputs: Sequence[str], keys: Sequence[Key], id_colu
     count = kept.count()
     tasks = partitions(count)
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
         for batch in batches:
             for split, part in batch.groupby("split"):
                 for at in range(0, len(part), BLOCK):
                     some = part.iloc[at : at + BLOCK]
                     x = some[inputs].to_numpy(np.float64)
-                    yield pd.DataFrame(
-                        {
-                            "split": [split],
-                            "rows": [len(some)],
-                            "key": [some["key"].to_numpy(np.int64).tobytes()],
-                            "x": [x.tobytes()],
-                            "bins": [binned(x, edges).tobytes()],
-                            "label": [some["label"].to_numpy(np.float64).tobytes()],
-                            "role": [some["role"].to_numpy(np.int8).tobytes()],
-                            "fold": [some["fold"].to_numpy(np.int8).tobytes()],
-                            "margin": [None],
-                        }
-                    )
+                    yield {
+                        "split": split,
+                        "rows": len(some),
+                        "key": some["key"].to_numpy(np.int64).tobytes(),
+                        "x": x.tobytes(),
+                        "bins": binned(x, edges).tobytes(),
+                        "label": some["label"].to_numpy(np.float64).tobytes(),
+                        "role": some["role"].to_numpy(np.int8).tobytes(),
+                        "fold": some["fold"].to_numpy(np.int8).tobytes(),
+                    }
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for some in neighbours(pieces(batches), joined):
+            parts = {k: [b"".join(p[k] for p in some)] for k in some[0] if k not in ("split", "rows")}
+            yield pd.DataFrame({"split": [some[0]["split"]], "rows": [sum(p["rows"] for p in some)], **parts, "margin": [None]})
 
     # the hash deals equal shares; a fixed number of partitions keeps sums the same in every run
     placed = kept.repartition(tasks, F.xxhash64("key")).sortWithinPartitions("split", "key")

@@ -350,7 +350,7 @@ def _measure(
     """
     rows = _tagged(splits, settings, any(k.fold is not None for k in keys))
     indexed = indexer(settings, rows)
-    layout = many_models.lay_out(indexed.transform(rows), input_names(settings), keys)
+    layout = many_models.lay_out(indexed.transform(rows), input_names(settings), keys, joined=many_models.JOINED)
     sizes = many_models.class_sizes(layout)
     large = [k for k, s in zip(keys, sizes) if s[0] > many_models.WHOLE]
 

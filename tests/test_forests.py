@@ -63,6 +63,18 @@ def test_boosted_models_apart_equal_those_of_levels_to_the_bit(rows, monkeypatch
     assert all(map(alike, many_models.boost_apart(layout, settings), want)) and len(jobs) == 30
 
 
+def test_blocks_brought_together_hold_the_same_rows(rows, layout, monkeypatch):
+    monkeypatch.setattr(many_models, "BLOCK", 16)
+    small, large = (many_models.lay_out(rows, INPUTS, KEYS, joined=j) for j in (0, 100))
+    held = lambda of: [r.rows for r in of.blocks.select("rows").collect()]
+    assert max(held(small)) == 16 < max(held(large)) <= 100 and sum(held(small)) == sum(held(large)) == rows.count()
+    for name in ("key", "x", "bins", "label", "role", "fold"):
+        found = [b"".join(bytes(r[0]) for r in of.blocks.select(name).collect()) for of in (small, large, layout)]
+        assert found[0] == found[1] == found[2]
+    settings = Boosting(rounds=3, depth=3)
+    assert all(map(alike, many_models.boost_apart(large, settings), many_models.boost(large, settings)))
+
+
 def test_models_without_rows_or_with_one_class(spark):
     data = [(i, float(i), 1.0, 0.0, 0.0, 1.0, 0, TRAIN, 0) for i in range(20)]
     layout = many_models.lay_out(spark.createDataFrame(data, SCHEMA), INPUTS, [Key(0), Key(1), Key(0, 0)])
