@@ -14,7 +14,8 @@ slot for each model:
   and gradients.
 
 Only the sums of the latter and the trees are on the driver; none of them grows
-with the rows.
+with the rows. ``boost_apart`` gives the same trees without a job a level, a model
+in a task, where a task holds the model's rows.
 """
 
 from __future__ import annotations
